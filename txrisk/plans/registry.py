@@ -407,3 +407,110 @@ def q_decide(spark, sf_dir):
     from txrisk.functions import decide
 
     return scored_events(spark, sf_dir).select("id", decide("score", 0.5).alias("y_pred"))
+
+
+# ---------------------------------------------------------------- E/G: splits and samples
+from txrisk.operators import sampling  # noqa: E402
+
+SEED = 42
+TEST_SIZE = 0.2
+VAL_SIZE = 0.15
+SUBSAMPLE_N = 5000
+SAMPLE_N = 10000
+FOLDS = 5
+
+
+def hash_sql(key: str = "tx_id", seed: int = SEED) -> str:
+    return f"('0x' || substr(md5(concat_ws(':', '{seed}', CAST({key} AS VARCHAR))), 1, 15))::BIGINT"
+
+
+def approx_mode_sql(src: str, cnt: str, draws: str, out: str) -> str:
+    """CTE ``out``(isFraud, cnt, q): floor + largest remainder (ties: smaller label first).
+
+    ``draws`` may use ``tot`` (the sum of ``cnt`` over all classes).
+    """
+    return f"""{out} AS (
+  SELECT isFraud, {cnt}, CAST(fl AS BIGINT) + CASE WHEN rr <= need THEN 1 ELSE 0 END AS q FROM (
+    SELECT *, row_number() OVER (ORDER BY cont - fl DESC, isFraud) AS rr,
+           dr - sum(fl) OVER () AS need FROM (
+      SELECT *, floor(cont) AS fl FROM (
+        SELECT isFraud, {cnt}, dr, {cnt} * dr / tot AS cont FROM (
+          SELECT isFraud, {cnt}, tot, {draws} AS dr FROM (
+            SELECT isFraud, {cnt}, sum({cnt}) OVER () AS tot FROM {src}))))))"""
+
+
+def split_ctes(src: str = "tx") -> str:
+    val_ratio = f"(CAST({VAL_SIZE} AS DOUBLE) / (1 - CAST({TEST_SIZE} AS DOUBLE)))"
+    return f""", hashed AS (SELECT tx_id, isFraud, {hash_sql()} AS h FROM {src}),
+cnt AS (SELECT isFraud, count(*) AS n_c FROM hashed GROUP BY isFraud),
+{approx_mode_sql('cnt', 'n_c', f'tot - ceil(CAST({TEST_SIZE} AS DOUBLE) * tot)', 'tr1')},
+rest AS (SELECT isFraud, q AS n_r, n_c - q AS test_q FROM tr1),
+{approx_mode_sql('rest', 'n_r', f'tot - ceil({val_ratio} * tot)', 'tr2')},
+quota AS (SELECT r.isFraud, r.test_q, t.n_r - t.q AS val_q FROM rest r JOIN tr2 t USING (isFraud)),
+ranked AS (SELECT tx_id, isFraud, row_number() OVER (PARTITION BY isFraud ORDER BY h, tx_id) AS rk FROM hashed),
+splitted AS (
+  SELECT tx_id, isFraud, CASE WHEN rk <= test_q THEN 'test' WHEN rk <= test_q + val_q THEN 'val' ELSE 'train' END AS split
+  FROM ranked JOIN quota USING (isFraud))"""
+
+
+def _split(spark, sf_dir):
+    return sampling.stratified_split(_tx(spark, sf_dir).select("tx_id", "isFraud"), TEST_SIZE, VAL_SIZE, SEED)
+
+
+@register("stratified_split", f"WITH {tx_cte()}{split_ctes()} SELECT tx_id, isFraud, split FROM splitted")
+def q_stratified_split(spark, sf_dir):
+    return _split(spark, sf_dir)
+
+
+@register(
+    "split_report",
+    f"WITH {tx_cte()}{split_ctes()} SELECT split, count(*) AS n, count(*) FILTER (WHERE isFraud = 1) AS n_fraud, "
+    f"{R('avg(isFraud)')} AS fraud_rate, {R('count(*) / sum(count(*)) OVER ()')} AS share FROM splitted GROUP BY split",
+)
+def q_split_report(spark, sf_dir):
+    return round_doubles(sampling.split_report(_split(spark, sf_dir)))
+
+
+@register(
+    "union_splits",
+    f"WITH {tx_cte()}{split_ctes()} SELECT tx_id, split FROM splitted WHERE split IN ('train', 'val')",
+)
+def q_union_splits(spark, sf_dir):
+    return sampling.union_splits(_split(spark, sf_dir)).select("tx_id", "split")
+
+
+@register(
+    "stratified_subsample",
+    f"""WITH {tx_cte()}, hashed AS (SELECT tx_id, isFraud, {hash_sql()} AS h FROM tx),
+cnt AS (SELECT isFraud, count(*) AS n_c FROM hashed GROUP BY isFraud),
+{approx_mode_sql('cnt', 'n_c', str(SUBSAMPLE_N), 'qs')},
+ranked AS (SELECT tx_id, isFraud, row_number() OVER (PARTITION BY isFraud ORDER BY h, tx_id) AS rk FROM hashed)
+SELECT tx_id, isFraud FROM ranked JOIN qs USING (isFraud) WHERE rk <= q""",
+)
+def q_stratified_subsample(spark, sf_dir):
+    return sampling.stratified_subsample(_tx(spark, sf_dir).select("tx_id", "isFraud"), SUBSAMPLE_N, SEED)
+
+
+@register(
+    "stratified_kfold",
+    f"""WITH {tx_cte()}, hashed AS (SELECT tx_id, isFraud, {hash_sql()} AS h FROM tx),
+cnt AS (SELECT isFraud, count(*) AS n_c, sum(count(*)) OVER (ORDER BY isFraud) - count(*) AS st FROM hashed GROUP BY isFraud),
+alloc AS (
+  SELECT isFraud, i AS fold,
+         CASE WHEN st + n_c > st + ((i - st) % {FOLDS} + {FOLDS}) % {FOLDS}
+              THEN (st + n_c - 1 - (st + ((i - st) % {FOLDS} + {FOLDS}) % {FOLDS})) // {FOLDS} + 1 ELSE 0 END AS n_f
+  FROM cnt, range(0, {FOLDS}) t(i)),
+ends AS (SELECT isFraud, fold, sum(n_f) OVER (PARTITION BY isFraud ORDER BY fold) AS e FROM alloc),
+ranked AS (SELECT tx_id, isFraud, row_number() OVER (PARTITION BY isFraud ORDER BY h, tx_id) AS rk FROM hashed)
+SELECT tx_id, isFraud, CAST(min(fold) AS INTEGER) AS fold FROM ranked JOIN ends USING (isFraud) WHERE rk <= e GROUP BY tx_id, isFraud""",
+)
+def q_stratified_kfold(spark, sf_dir):
+    return sampling.stratified_kfold(_tx(spark, sf_dir).select("tx_id", "isFraud"), FOLDS, SEED)
+
+
+@register(
+    "sample_n",
+    f"WITH {tx_cte()} SELECT tx_id FROM tx ORDER BY {hash_sql()}, tx_id LIMIT {SAMPLE_N}",
+)
+def q_sample_n(spark, sf_dir):
+    return sampling.sample_n(_tx(spark, sf_dir).select("tx_id"), SAMPLE_N, SEED)
