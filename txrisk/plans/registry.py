@@ -514,3 +514,96 @@ def q_stratified_kfold(spark, sf_dir):
 )
 def q_sample_n(spark, sf_dir):
     return sampling.sample_n(_tx(spark, sf_dir).select("tx_id"), SAMPLE_N, SEED)
+
+
+# ---------------------------------------------------------------- C: correlations
+from txrisk.operators import correlation  # noqa: E402
+
+# Key columns of the correlation overview and its sizes.
+CORR_KEYS = ["amount", "balance_change_orig", "balance_change_dest", "inconsistent_orig", "inconsistent_dest"]
+CORR_TOP_K = 8
+CORR_LIMIT = 20
+HIGH_CORR = 0.9
+COLLINEAR = 0.95
+
+
+def corr_ctes(cols) -> str:
+    casts = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in cols)
+    pos = ", ".join(f"('{c}', {i})" for i, c in enumerate(cols))
+    return f""", long_c AS (SELECT tx_id, feature, x FROM (SELECT tx_id, {casts} FROM feat)
+  UNPIVOT INCLUDE NULLS (x FOR feature IN ({', '.join(cols)}))),
+pos AS (SELECT feature, CAST(idx AS INTEGER) AS idx FROM (VALUES {pos}) t(feature, idx)),
+cm AS (SELECT a.feature AS feature_i, b.feature AS feature_j, corr(a.x, b.x) AS r
+       FROM long_c a JOIN long_c b USING (tx_id) GROUP BY ALL),
+cmx AS (SELECT cm.feature_i, cm.feature_j, pi.idx AS i, pj.idx AS j,
+               CASE WHEN r IS NULL OR isnan(r) THEN NULL ELSE greatest(-1.0, least(1.0, r)) END AS r
+        FROM cm JOIN pos pi ON pi.feature = cm.feature_i JOIN pos pj ON pj.feature = cm.feature_j)"""
+
+
+def _corr(spark, sf_dir, cols=NUMERIC_FEATURES):
+    return correlation.correlation_matrix(_features(spark, sf_dir), list(cols))
+
+
+@register(
+    "correlation_matrix",
+    with_features(f"{corr_ctes(NUMERIC_FEATURES)} SELECT feature_i, feature_j, i, j, {R('r')} AS r FROM cmx"),
+)
+def q_correlation_matrix(spark, sf_dir):
+    return round_doubles(_corr(spark, sf_dir))
+
+
+@register(
+    "high_corr_pairs",
+    with_features(
+        f"{corr_ctes(NUMERIC_FEATURES)} SELECT feature_i, feature_j, {R('r')} AS r FROM cmx "
+        f"WHERE i < j AND abs(r) > {HIGH_CORR}"
+    ),
+)
+def q_high_corr_pairs(spark, sf_dir):
+    return round_doubles(correlation.high_corr_pairs(_corr(spark, sf_dir), HIGH_CORR))
+
+
+_KEYS_SQL = ", ".join(f"'{c}'" for c in CORR_KEYS)
+
+
+@register(
+    "top_correlated",
+    with_features(
+        f"""{corr_ctes(NUMERIC_FEATURES)},
+ranked AS (SELECT feature_i, feature_j, j, row_number() OVER (PARTITION BY feature_i ORDER BY abs(r) DESC, j) AS rk
+           FROM cmx WHERE feature_i IN ({_KEYS_SQL}) AND r IS NOT NULL),
+picked AS (SELECT feature_j AS feature, j AS pos, min(rk) AS best_rank FROM ranked WHERE rk <= {CORR_TOP_K} GROUP BY ALL),
+own AS (SELECT feature, idx AS pos, 0 AS best_rank FROM pos WHERE feature IN ({_KEYS_SQL})),
+best AS (SELECT feature, pos, min(best_rank) AS best_rank FROM (SELECT * FROM picked UNION ALL SELECT * FROM own) GROUP BY ALL)
+SELECT feature, CAST(best_rank AS INTEGER) AS best_rank FROM best ORDER BY best_rank, pos LIMIT {CORR_LIMIT}"""
+    ),
+)
+def q_top_correlated(spark, sf_dir):
+    return correlation.top_correlated(_corr(spark, sf_dir), CORR_KEYS, CORR_TOP_K, CORR_LIMIT)
+
+
+@register(
+    "drop_collinear",
+    with_features(
+        f"{corr_ctes(NUMERIC_FEATURES)} SELECT DISTINCT feature_j AS feature FROM cmx WHERE i < j AND abs(r) > {COLLINEAR}"
+    ),
+)
+def q_drop_collinear(spark, sf_dir):
+    df = _features(spark, sf_dir)
+    _, dropped = correlation.drop_collinear(df, COLLINEAR)
+    return spark.createDataFrame([(c,) for c in dropped], "feature string")
+
+
+_TC_COLS = NUMERIC_FEATURES + ["isFraud"]
+
+
+@register(
+    "target_correlation",
+    with_features(
+        f"{corr_ctes(_TC_COLS)} SELECT feature_i AS feature, {R('r')} AS r, "
+        f"CAST(row_number() OVER (ORDER BY r DESC NULLS LAST, i) AS INTEGER) AS position "
+        f"FROM cmx WHERE feature_j = 'isFraud'"
+    ),
+)
+def q_target_correlation(spark, sf_dir):
+    return round_doubles(correlation.target_correlation(_features(spark, sf_dir), list(NUMERIC_FEATURES)))
