@@ -607,3 +607,146 @@ _TC_COLS = NUMERIC_FEATURES + ["isFraud"]
 )
 def q_target_correlation(spark, sf_dir):
     return round_doubles(correlation.target_correlation(_features(spark, sf_dir), list(NUMERIC_FEATURES)))
+
+
+# ---------------------------------------------------------------- J: evaluation of scored tables
+from txrisk.operators import evaluation as ev  # noqa: E402
+
+THRESHOLD = 0.5
+
+
+def _scored(spark, sf_dir):
+    return scored_events(spark, sf_dir)
+
+
+def eval_ctes(threshold: float = THRESHOLD) -> str:
+    return f"""WITH s AS ({scored_sql('duckdb')}),
+g AS (SELECT score, CAST(sum(y_true) AS BIGINT) AS tp, CAST(count(*) - sum(y_true) AS BIGINT) AS fp FROM s GROUP BY score),
+c AS (SELECT score, tp, fp,
+        sum(tp) OVER (ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS ctp,
+        sum(fp) OVER (ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cfp,
+        lead(tp) OVER (ORDER BY score DESC) AS ntp, lead(fp) OVER (ORDER BY score DESC) AS nfp,
+        row_number() OVER (ORDER BY score DESC) AS rn, count(*) OVER () AS cnt,
+        sum(tp) OVER () AS P, sum(fp) OVER () AS N FROM g),
+rk AS (SELECT sum(fp * (ctp - tp / 2.0)) / (max(P) * max(N)) AS auc_roc,
+              sum(tp * ctp / (ctp + cfp)) / max(P) AS auc_pr FROM c),
+cmx AS (SELECT count(*) FILTER (WHERE y_true = 0 AND NOT coalesce(score >= {threshold}, false)) AS tn,
+               count(*) FILTER (WHERE y_true = 0 AND coalesce(score >= {threshold}, false)) AS fp,
+               count(*) FILTER (WHERE y_true = 1 AND NOT coalesce(score >= {threshold}, false)) AS fn,
+               count(*) FILTER (WHERE y_true = 1 AND coalesce(score >= {threshold}, false)) AS tp FROM s),
+th AS (SELECT CAST(i AS DOUBLE) / 100.0 AS threshold FROM range({ev.GRID_START}, {ev.GRID_END + 1}) t(i)),
+sw AS (SELECT threshold, tp, fp, fn,
+         CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0.0 END AS precision,
+         CASE WHEN tp + fn > 0 THEN tp / (tp + fn) ELSE 0.0 END AS recall,
+         CASE WHEN 2 * tp + fp + fn > 0 THEN 2 * tp / (2 * tp + fp + fn) ELSE 0.0 END AS f1
+       FROM (SELECT threshold,
+               count(*) FILTER (WHERE y_true = 1 AND score >= threshold) AS tp,
+               count(*) FILTER (WHERE y_true = 0 AND score >= threshold) AS fp,
+               count(*) FILTER (WHERE y_true = 1 AND NOT coalesce(score >= threshold, false)) AS fn
+             FROM th, s GROUP BY threshold)),
+best AS (SELECT threshold, f1 FROM sw ORDER BY f1 DESC, threshold ASC LIMIT 1),
+mx AS (SELECT CAST(tp + tn AS DOUBLE) / (tn + fp + fn + tp) AS accuracy,
+              CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0.0 END AS precision,
+              CASE WHEN tp + fn > 0 THEN tp / (tp + fn) ELSE 0.0 END AS recall,
+              CASE WHEN 2 * tp + fp + fn > 0 THEN 2 * tp / (2 * tp + fp + fn) ELSE 0.0 END AS f1_score,
+              tn, fp, fn, tp FROM cmx)"""
+
+
+@register("confusion_matrix", eval_ctes() + " SELECT tn, fp, fn, tp FROM cmx")
+def q_confusion_matrix(spark, sf_dir):
+    return ev.confusion_matrix(_scored(spark, sf_dir), THRESHOLD)
+
+
+@register("auc_roc", eval_ctes() + f" SELECT {R('auc_roc')} AS auc_roc FROM rk")
+def q_auc_roc(spark, sf_dir):
+    return round_doubles(spark.createDataFrame([(ev.auc_roc(_scored(spark, sf_dir)),)], "auc_roc double"))
+
+
+@register("average_precision", eval_ctes() + f" SELECT {R('auc_pr')} AS average_precision FROM rk")
+def q_average_precision(spark, sf_dir):
+    return round_doubles(spark.createDataFrame([(ev.average_precision(_scored(spark, sf_dir)),)], "average_precision double"))
+
+
+_METRICS_SELECT = (
+    f"{R('accuracy')} AS accuracy, {R('precision')} AS precision, {R('recall')} AS recall, {R('f1_score')} AS f1_score, "
+    f"{R('auc_roc')} AS auc_roc, {R('auc_pr')} AS auc_pr, tn AS true_negatives, fp AS false_positives, "
+    "fn AS false_negatives, tp AS true_positives"
+)
+
+
+@register("classification_metrics", eval_ctes() + f" SELECT {_METRICS_SELECT} FROM mx, rk")
+def q_classification_metrics(spark, sf_dir):
+    return round_doubles(ev.classification_metrics(_scored(spark, sf_dir), THRESHOLD))
+
+
+@register(
+    "threshold_sweep",
+    eval_ctes() + f" SELECT {R('threshold')} AS threshold, tp, fp, fn, {R('precision')} AS precision, "
+    f"{R('recall')} AS recall, {R('f1')} AS f1 FROM sw",
+)
+def q_threshold_sweep(spark, sf_dir):
+    return round_doubles(ev.threshold_sweep(_scored(spark, sf_dir)))
+
+
+@register(
+    "optimal_threshold",
+    eval_ctes() + f" SELECT 'f1' AS metric, {R('threshold')} AS threshold, {R('f1')} AS value FROM best",
+)
+def q_optimal_threshold(spark, sf_dir):
+    return round_doubles(ev.optimal_threshold(_scored(spark, sf_dir), "f1"))
+
+
+@register(
+    "roc_curve",
+    eval_ctes()
+    + f""" SELECT 0.0::DOUBLE AS fpr, 0.0::DOUBLE AS tpr, 'inf'::DOUBLE AS threshold
+UNION ALL
+SELECT {R('cfp / N')} AS fpr, {R('ctp / P')} AS tpr, {R('score')} AS threshold FROM c
+WHERE rn = 1 OR rn = cnt OR ntp <> tp OR nfp <> fp""",
+)
+def q_roc_curve(spark, sf_dir):
+    return round_doubles(ev.roc_curve(_scored(spark, sf_dir)))
+
+
+@register(
+    "pr_curve",
+    eval_ctes()
+    + f""" SELECT {R('ctp / P')} AS recall, {R('ctp / (ctp + cfp)')} AS precision, {R('score')} AS threshold FROM c
+UNION ALL SELECT 0.0::DOUBLE, 1.0::DOUBLE, NULL::DOUBLE""",
+)
+def q_pr_curve(spark, sf_dir):
+    return round_doubles(ev.pr_curve(_scored(spark, sf_dir)))
+
+
+def _report_sql():
+    def r4(e):
+        return R(f"round({e}, 4)")
+
+    return eval_ctes() + f""",
+pc AS (SELECT tn, fp, fn, tp, tn + fp AS s0, tp + fn AS s1, tn + fp + fn + tp AS n,
+  CASE WHEN tn + fn > 0 THEN tn / (tn + fn) ELSE 0.0 END AS p0,
+  CASE WHEN tn + fp > 0 THEN tn / (tn + fp) ELSE 0.0 END AS r0,
+  CASE WHEN 2 * tn + fn + fp > 0 THEN 2 * tn / (2 * tn + fn + fp) ELSE 0.0 END AS f0,
+  CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0.0 END AS p1,
+  CASE WHEN tp + fn > 0 THEN tp / (tp + fn) ELSE 0.0 END AS r1,
+  CASE WHEN 2 * tp + fp + fn > 0 THEN 2 * tp / (2 * tp + fp + fn) ELSE 0.0 END AS f1 FROM cmx)
+SELECT 'Legitimate' AS label, {r4('p0')} AS precision, {r4('r0')} AS recall, {r4('f0')} AS f1, s0 AS support FROM pc
+UNION ALL SELECT 'Fraud', {r4('p1')}, {r4('r1')}, {r4('f1')}, s1 FROM pc
+UNION ALL SELECT 'accuracy', NULL, NULL, {r4('CAST(tp + tn AS DOUBLE) / n')}, n FROM pc
+UNION ALL SELECT 'macro avg', {r4('(p0 + p1) / 2')}, {r4('(r0 + r1) / 2')}, {r4('(f0 + f1) / 2')}, n FROM pc
+UNION ALL SELECT 'weighted avg', {r4('(p0 * s0 + p1 * s1) / n')}, {r4('(r0 * s0 + r1 * s1) / n')}, {r4('(f0 * s0 + f1 * s1) / n')}, n FROM pc"""
+
+
+@register("classification_report", _report_sql())
+def q_classification_report(spark, sf_dir):
+    return round_doubles(ev.classification_report(_scored(spark, sf_dir), THRESHOLD))
+
+
+@register(
+    "evaluate",
+    eval_ctes()
+    + f" SELECT {_METRICS_SELECT}, {R('best.threshold')} AS optimal_threshold, {R('best.f1')} AS optimal_f1_score, "
+    f"{R(str(THRESHOLD))} AS threshold FROM mx, rk, best",
+)
+def q_evaluate(spark, sf_dir):
+    return round_doubles(ev.evaluate(_scored(spark, sf_dir), THRESHOLD))
