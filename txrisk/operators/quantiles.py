@@ -26,6 +26,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from txrisk.plans.persist import passes_over
+
 ACCURACY = 10000
 COLLECT_LIMIT = 50000
 MAX_ROUNDS = 8
@@ -34,19 +36,25 @@ MAX_ROUNDS = 8
 @dataclass
 class _Target:
     col: str
-    rank: int  # 0-based rank among non-null values
+    k0: int  # 0-based ranks among non-null values: the bracket must hold both
+    k1: int
     inside: int  # rows in the bracket (starts as all non-null rows)
     lo: float | None = None  # bracket, inclusive; None = unbounded
     hi: float | None = None
     below: int = 0  # non-null rows < lo
     distinct: int | None = None  # approx. distinct values in the bracket; None = unknown
     margin: float = 2.0 / ACCURACY
-    value: float | None = None
+    values: tuple | None = None
     done: bool = False
 
     def small(self) -> bool:
         return self.distinct is not None and self.distinct <= COLLECT_LIMIT
 
+    def probs(self) -> tuple[float, float]:
+        q_lo = (self.k0 - self.below + 0.5) / self.inside - self.margin
+        q_hi = (self.k1 - self.below + 0.5) / self.inside + self.margin
+        return max(0.0, q_lo), min(1.0, q_hi)
+
 
 def _in_bracket(c, lo, hi):
     cond = c.isNotNull()
@@ -57,73 +65,122 @@ def _in_bracket(c, lo, hi):
     return cond
 
 
-def _narrow(df: DataFrame, targets: list[tuple[int, _Target]]) -> None:
-    """Sketch inside each bracket, then verify the new brackets with exact counts."""
-    exprs, slots = [], []
+def _sketch(df: DataFrame, targets: list[tuple[int, _Target]]) -> dict[int, tuple]:
+    """One sketch per column for unbounded brackets (first round), one per target otherwise."""
+    exprs, plan = [], []
+    shared: dict[str, list[float]] = {}
+    for i, t in targets:
+        if t.lo is None and t.hi is None and t.below == 0:
+            shared.setdefault(t.col, [])
+            shared[t.col].extend(t.probs())
+    for c, ps in shared.items():
+        exprs.append(F.percentile_approx(F.col(c).cast("double"), sorted(set(ps)), ACCURACY).alias(f"c_{len(exprs)}"))
+        plan.append(("col", c, sorted(set(ps)), f"c_{len(exprs) - 1}"))
     for i, t in targets:
+        if t.col in shared and t.lo is None and t.hi is None and t.below == 0:
+            continue
         c = F.col(t.col)
-        rel = (t.rank - t.below + 0.5) / t.inside
-        q_lo, q_hi = max(0.0, rel - t.margin), min(1.0, rel + t.margin)
+        q_lo, q_hi = t.probs()
         masked = F.when(_in_bracket(c, t.lo, t.hi), c.cast("double"))
-        exprs.append(F.percentile_approx(masked, [q_lo, q_hi], ACCURACY).alias(f"s{i}"))
-        slots.append((i, t, q_lo, q_hi))
+        exprs.append(F.percentile_approx(masked, [q_lo, q_hi], ACCURACY).alias(f"t_{i}"))
     row = df.agg(*exprs).first()
-    proposals = []
-    for i, t, q_lo, q_hi in slots:
-        lo_v, hi_v = row[f"s{i}"]
+    by_col = {}
+    for kind, c, ps, alias in plan:
+        by_col[c] = dict(zip(ps, row[alias]))
+    out = {}
+    for i, t in targets:
+        q_lo, q_hi = t.probs()
+        if t.col in by_col and t.lo is None and t.hi is None and t.below == 0:
+            lo_v, hi_v = by_col[t.col][q_lo], by_col[t.col][q_hi]
+        else:
+            lo_v, hi_v = row[f"t_{i}"]
         # Where the sketch range reaches the end of the bracket, keep that side of it.
-        proposals.append((i, t, t.lo if q_lo <= 0.0 else lo_v, t.hi if q_hi >= 1.0 else hi_v))
+        out[i] = (t.lo if q_lo <= 0.0 else lo_v, t.hi if q_hi >= 1.0 else hi_v)
+    return out
 
-    exprs = []
-    for i, t, lo, hi in proposals:
-        c = F.col(t.col)
-        inb = _in_bracket(c, lo, hi)
-        below = F.lit(0).cast("long") if lo is None else F.count_if(c.isNotNull() & (c < F.lit(lo)))
-        exprs += [
-            below.alias(f"b{i}"),
-            F.count_if(inb).alias(f"n{i}"),
-            F.approx_count_distinct(F.when(inb, c)).alias(f"d{i}"),
-        ]
-    row = df.agg(*exprs).first()
-    for i, t, lo, hi in proposals:
-        below, inside, distinct = int(row[f"b{i}"]), int(row[f"n{i}"]), int(row[f"d{i}"])
-        if below <= t.rank < below + inside:
-            t.lo, t.hi, t.below, t.inside, t.distinct = lo, hi, below, inside, distinct
+
+def _narrow(df: DataFrame, targets: list[tuple[int, _Target]]) -> None:
+    """Sketch inside each bracket, then verify the new brackets with exact counts."""
+    proposals = _sketch(df, targets)
+    brackets = [(i, t.col, *proposals[i]) for i, t in targets]
+    tagged = _tag(df, brackets)
+    grouped = tagged.filter(F.col("k").isNotNull()).groupBy("t", "k").count()
+    counts = {(int(r["t"]), int(r["k"])): int(r["count"]) for r in grouped.collect()}  # <= 2 rows per target
+    row = {}
+    for i, _ in targets:
+        row[f"b{i}"] = counts.get((i, 0), 0)
+        row[f"n{i}"] = counts.get((i, 1), 0)
+    verified = []
+    for i, t in targets:
+        lo, hi = proposals[i]
+        below, inside = int(row[f"b{i}"]), int(row[f"n{i}"])
+        if below <= t.k0 and t.k1 < below + inside:
+            t.lo, t.hi, t.below, t.inside = lo, hi, below, inside
+            # A bracket with few rows has few distinct values; count distinct only for big ones.
+            t.distinct = inside if inside <= COLLECT_LIMIT else None
             if lo is not None and lo == hi:
-                t.value, t.done = lo, True
+                t.values, t.done = (lo, lo), True
+            elif t.distinct is None:
+                verified.append((i, t))
         else:
             # Outside the sketch's error bound: keep the verified bracket, widen the margin.
             t.margin *= 8.0
+    if verified:
+        row = df.agg(
+            *[F.approx_count_distinct(F.when(_in_bracket(F.col(t.col), t.lo, t.hi), F.col(t.col))).alias(f"d{i}") for i, t in verified]
+        ).first()
+        for i, t in verified:
+            t.distinct = int(row[f"d{i}"])
+
+
+def _tag(df: DataFrame, brackets: list[tuple[int, str, float | None, float | None]]) -> DataFrame:
+    """(t, k, x): k = 0 below, 1 inside the bracket of target t, NULL above.
+
+    Brackets travel as a small broadcast table, not as literals, so every round
+    runs the same generated code (compiled once per session).
+    """
+    spark = df.sparkSession
+    cols = list(dict.fromkeys(c for _, c, _, _ in brackets))
+    pos = {c: i for i, c in enumerate(cols)}
+    table = spark.createDataFrame(
+        [(i, pos[c], lo, hi) for i, c, lo, hi in brackets], "t int, ci int, lo double, hi double"
+    )
+    long = df.select(F.posexplode(F.array(*[F.col(c).cast("double") for c in cols])).alias("ci", "x")).filter(
+        F.col("x").isNotNull()
+    )
+    x, lo, hi = F.col("x"), F.col("lo"), F.col("hi")
+    inside = (lo.isNull() | (x >= lo)) & (hi.isNull() | (x <= hi))
+    below = lo.isNotNull() & (x < lo)
+    # The bracket table has one row per target: broadcast.
+    return long.join(F.broadcast(table), "ci").select(
+        "t", F.when(inside, F.lit(1)).when(below, F.lit(0)).alias("k"), "x"
+    )
 
 
 def _collect(df: DataFrame, targets: list[tuple[int, _Target]]) -> None:
-    parts = []
-    for i, t in targets:
-        c = F.col(t.col)
-        parts.append(
-            F.when(_in_bracket(c, t.lo, t.hi), F.struct(F.lit(i).alias("q"), c.cast("double").alias("v")))
-        )
-    exploded = df.select(F.explode(F.filter(F.array(*parts), lambda x: x.isNotNull())).alias("e"))
-    grouped = exploded.groupBy(F.col("e.q").alias("q"), F.col("e.v").alias("v")).count()
+    tagged = _tag(df, [(i, t.col, t.lo, t.hi) for i, t in targets])
+    grouped = tagged.filter(F.col("k") == 1).groupBy("t", "x").count()
     # Size checked before: at most about COLLECT_LIMIT distinct values per target.
     by_target: dict[int, list[tuple[float, int]]] = {}
     for r in grouped.collect():
-        by_target.setdefault(int(r["q"]), []).append((float(r["v"]), int(r["count"])))
+        by_target.setdefault(int(r["t"]), []).append((float(r["x"]), int(r["count"])))
     for i, t in targets:
-        need = t.rank - t.below
-        acc = 0
+        found = {}
+        acc = t.below
         for v, n in sorted(by_target.get(i, [])):
+            for k in (t.k0, t.k1):
+                if k not in found and acc + n > k:
+                    found[k] = v
             acc += n
-            if acc > need:
-                t.value, t.done = v, True
-                break
-        if not t.done:  # approximate distinct count was off; narrow again
+        if len(found) == 2 or (t.k0 == t.k1 and found):
+            t.values, t.done = (found[t.k0], found[t.k1]), True
+        else:  # approximate distinct count was off; narrow again
             t.distinct = None
 
 
-def order_statistics(df: DataFrame, requests: list[tuple[str, int]], counts: dict[str, int]) -> list[float | None]:
-    """Exact values at 0-based ranks among the non-null values of each column."""
-    targets = [_Target(col=c, rank=k, inside=counts[c]) for c, k in requests]
+def order_statistics(df: DataFrame, requests: list[tuple[str, int, int]], counts: dict[str, int]) -> list[tuple | None]:
+    """Exact values at the 0-based ranks (k0, k1) among the non-null values of each column."""
+    targets = [_Target(col=c, k0=k0, k1=k1, inside=counts[c]) for c, k0, k1 in requests]
     for t in targets:
         if counts[t.col] == 0:
             t.done = True
@@ -139,7 +196,7 @@ def order_statistics(df: DataFrame, requests: list[tuple[str, int]], counts: dic
             _collect(df, ready)
     if not all(t.done for t in targets):
         raise RuntimeError("exact quantile did not converge")
-    return [t.value for t in targets]
+    return [t.values for t in targets]
 
 
 def interpolate(v0: float, v1: float, frac: float) -> float:
@@ -156,6 +213,11 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], counts:
     ``counts`` (non-null counts per column) can be passed when already known.
     Columns without values give None.
     """
+    with passes_over(df.select(*cols)) as data:
+        return _exact_quantiles(data, cols, probs, counts)
+
+
+def _exact_quantiles(df: DataFrame, cols, probs, counts):
     if counts is None:
         row = df.agg(*[F.count(F.col(c)).alias(c) for c in cols]).first()
         counts = {c: int(row[c]) for c in cols}
@@ -169,18 +231,16 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], counts:
             pos = (n - 1) * p
             k0 = int(math.floor(pos))
             k1 = min(k0 + 1, n - 1)
-            frac = pos - k0
-            plan[(c, p)] = (len(requests), len(requests) + 1, frac)
-            requests += [(c, k0), (c, k1)]
-    # Deduplicate identical rank requests.
-    uniq = sorted(set(requests), key=requests.index)
-    values = order_statistics(df, uniq, counts) if uniq else []
-    lookup = dict(zip(uniq, values))
+            plan[(c, p)] = ((c, k0, k1), pos - k0)
+            requests.append((c, k0, k1))
+    uniq = list(dict.fromkeys(requests))
+    found = dict(zip(uniq, order_statistics(df, uniq, counts))) if uniq else {}
     out = {}
     for key, spec in plan.items():
         if spec is None:
             out[key] = None
             continue
-        i0, i1, frac = spec
-        out[key] = interpolate(lookup[requests[i0]], lookup[requests[i1]], frac)
+        req, frac = spec
+        v0, v1 = found[req]
+        out[key] = interpolate(v0, v1, frac)
     return out

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from txrisk.functions import hash_key
 from txrisk.operators.selection import at_or_before, rank_cutoffs
+from txrisk.plans.persist import passes_over
 from txrisk.schema import KEY, TARGET
 
 H = "_h"
@@ -66,7 +67,10 @@ def _assign(df: DataFrame, label: str, key: str, cuts_by_class: dict, names: lis
 def _cutoffs(df, label, key, ranks_by_class):
     """ranks_by_class: {class: [end rank (exclusive) of each leading part]} -> cutoff rows."""
     targets = [(c, r - 1) for c, ranks in ranks_by_class.items() for r in ranks if r > 0]
-    found = rank_cutoffs(df, H, key, label, targets) if targets else {}
+    found = {}
+    if targets:
+        with passes_over(df.select(label, key, H)) as data:
+            found = rank_cutoffs(data, H, key, label, targets)
     return {c: [found.get((c, r - 1)) if r > 0 else None for r in ranks] for c, ranks in ranks_by_class.items()}
 
 
@@ -153,7 +157,8 @@ def sample_n(df: DataFrame, n: int, seed: int = 42, key: str = KEY) -> DataFrame
         return df
     if n <= 0:
         return df.limit(0)
-    cut = rank_cutoffs(hashed, H, key, None, [(None, n - 1)])[(None, n - 1)]
+    with passes_over(hashed.select(key, H)) as data:
+        cut = rank_cutoffs(data, H, key, None, [(None, n - 1)])[(None, n - 1)]
     return hashed.filter(at_or_before(H, key, cut)).drop(H)
 
 

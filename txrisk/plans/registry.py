@@ -255,8 +255,8 @@ def q_class_balance(spark, sf_dir):
     return round_doubles(profile.class_balance(_features(spark, sf_dir)))
 
 
-def _long_numeric(cols, source="feat", name="long_num"):
-    casts = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in cols)
+def _long_numeric(cols, source="feat", name="long_num", keys=()):
+    casts = ", ".join([*keys, *(f"CAST({c} AS DOUBLE) AS {c}" for c in cols)])
     on = ", ".join(cols)
     return f"{name} AS (SELECT * FROM (SELECT {casts} FROM {source}) UNPIVOT INCLUDE NULLS (x FOR feature IN ({on})))"
 
@@ -750,3 +750,108 @@ def q_classification_report(spark, sf_dir):
 )
 def q_evaluate(spark, sf_dir):
     return round_doubles(ev.evaluate(_scored(spark, sf_dir), THRESHOLD))
+
+
+# ---------------------------------------------------------------- F/H1/A3: preprocessing, weights, params
+from txrisk.operators import imbalance, preprocess  # noqa: E402
+from txrisk.session import scratch_path  # noqa: E402
+from txrisk.sources import params as params_io  # noqa: E402
+
+
+def _split_features(spark, sf_dir):
+    return sampling.stratified_split(_features(spark, sf_dir), TEST_SIZE, VAL_SIZE, SEED)
+
+
+def _train_features(spark, sf_dir):
+    return _split_features(spark, sf_dir).filter(F.col("split") == "train").drop("split")
+
+
+def train_ctes() -> str:
+    return f"""{split_ctes('feat')},
+train AS (SELECT feat.* FROM feat JOIN splitted USING (tx_id, isFraud) WHERE split = 'train')"""
+
+
+def _stats_ctes(scaler: str) -> str:
+    if scaler == "standard":
+        body = "avg(x) AS center, CASE WHEN stddev_pop(x) IS NULL OR stddev_pop(x) = 0 THEN 1.0 ELSE stddev_pop(x) END AS scale"
+    else:
+        iqr = "quantile_cont(x, 0.75) - quantile_cont(x, 0.25)"
+        body = f"quantile_cont(x, 0.5) AS center, CASE WHEN ({iqr}) IS NULL OR ({iqr}) = 0 THEN 1.0 ELSE {iqr} END AS scale"
+    return f"""{train_ctes()}, {_long_numeric(NUMERIC_FEATURES, 'train', 'train_long')},
+stats AS (SELECT feature, {body} FROM train_long GROUP BY feature),
+cats AS (SELECT type AS category, CAST(row_number() OVER (ORDER BY type) - 1 AS INTEGER) AS position
+         FROM (SELECT DISTINCT type FROM train WHERE type IS NOT NULL))"""
+
+
+def _scaler_sql(scaler: str) -> str:
+    return with_features(f"{_stats_ctes(scaler)} SELECT feature, {R('center')} AS center, {R('scale')} AS scale FROM stats")
+
+
+@register("standard_scale", _scaler_sql("standard"))
+def q_standard_scale(spark, sf_dir):
+    return round_doubles(preprocess.fit_standard(_train_features(spark, sf_dir), list(NUMERIC_FEATURES)))
+
+
+@register("robust_scale", _scaler_sql("robust"))
+def q_robust_scale(spark, sf_dir):
+    return round_doubles(preprocess.fit_robust(_train_features(spark, sf_dir), list(NUMERIC_FEATURES)))
+
+
+def _onehot_long(pre, df):
+    cols = [c for c in pre.output_columns() if c not in pre.numerical]
+    wide = df.select("tx_id", *preprocess.one_hot_columns(pre))
+    return wide.unpivot(["tx_id"], cols, "feature", "value")
+
+
+_ONEHOT_SQL = with_features(
+    f"""{_stats_ctes('standard')}
+SELECT tx_id, 'type_' || category AS feature, CAST(coalesce(feat.type = category, false) AS DOUBLE) AS value
+FROM feat, cats WHERE position > 0"""
+)
+
+
+@register("one_hot", _ONEHOT_SQL)
+def q_one_hot(spark, sf_dir):
+    split = _split_features(spark, sf_dir)
+    pre = preprocess.fit_preprocessor(split.filter(F.col("split") == "train"), numerical=[])
+    return _onehot_long(pre, split)
+
+
+_PREPROCESS_SQL = with_features(
+    f"""{_stats_ctes('standard')}, {_long_numeric(NUMERIC_FEATURES, 'feat', 'all_long', keys=('tx_id',))}
+SELECT tx_id, 'type_' || category AS feature, CAST(coalesce(feat.type = category, false) AS DOUBLE) AS value
+FROM feat, cats WHERE position > 0
+UNION ALL
+SELECT tx_id, feature, {R('(x - center) / scale')} AS value FROM all_long JOIN stats USING (feature)"""
+)
+
+
+@register("preprocess", _PREPROCESS_SQL)
+def q_preprocess(spark, sf_dir):
+    split = _split_features(spark, sf_dir)
+    pre = preprocess.fit_preprocessor(split.filter(F.col("split") == "train"), numerical=list(NUMERIC_FEATURES))
+    out = preprocess.transform(pre, split)
+    long = out.unpivot(["tx_id"], pre.output_columns(), "feature", "value")
+    return round_doubles(long)
+
+
+@register("params_roundtrip", _scaler_sql("standard"))
+def q_params_roundtrip(spark, sf_dir):
+    train = _train_features(spark, sf_dir)
+    pre = preprocess.fit_preprocessor(train, numerical=list(NUMERIC_FEATURES))
+    path = scratch_path(spark, "params")
+    params_io.save_params(path, {"categories": pre.categories, "stats": pre.stats}, config={"scaler": pre.scaler})
+    tables, cfg = params_io.load_params(spark, path, ("categories", "stats"), config=True)
+    assert cfg == {"scaler": "standard"}
+    return round_doubles(tables["stats"])
+
+
+@register(
+    "class_weights",
+    with_features(
+        f"{train_ctes()} SELECT isFraud AS label, count(*) AS n, "
+        f"{R('sum(count(*)) OVER () / (count(*) OVER () * count(*))')} AS weight FROM train GROUP BY isFraud"
+    ),
+)
+def q_class_weights(spark, sf_dir):
+    return round_doubles(imbalance.class_weights(_train_features(spark, sf_dir)))
