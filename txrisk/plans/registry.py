@@ -855,3 +855,73 @@ def q_params_roundtrip(spark, sf_dir):
 )
 def q_class_weights(spark, sf_dir):
     return round_doubles(imbalance.class_weights(_train_features(spark, sf_dir)))
+
+
+# ---------------------------------------------------------------- H2/H3: minority kNN and SMOTE
+from txrisk.operators import knn as knn_ops  # noqa: E402
+
+KNN_K = 5
+SMOTE_RATIO = 0.3
+
+
+def prep_ctes() -> str:
+    """``prep_long``(tx_id, feature, value): standard-scaled features + one-hot, unrounded, NULL -> 0."""
+    return f"""{_stats_ctes('standard')}, {_long_numeric(NUMERIC_FEATURES, 'feat', 'all_long', keys=('tx_id',))},
+prep_long AS (
+  SELECT tx_id, 'type_' || category AS feature, CAST(coalesce(feat.type = category, false) AS DOUBLE) AS value
+  FROM feat, cats WHERE position > 0
+  UNION ALL
+  SELECT tx_id, feature, coalesce((x - center) / scale, 0.0) AS value FROM all_long JOIN stats USING (feature)),
+mino AS (SELECT tx_id FROM splitted WHERE split = 'train' AND isFraud = 1),
+ml AS (SELECT p.tx_id, p.feature, p.value FROM prep_long p JOIN mino USING (tx_id)),
+pairs AS (SELECT a.tx_id AS id, b.tx_id AS nid, sum((a.value - b.value) * (a.value - b.value)) AS d2
+          FROM ml a JOIN ml b ON a.feature = b.feature AND a.tx_id <> b.tx_id GROUP BY a.tx_id, b.tx_id),
+knn AS (SELECT id, nid, d2, row_number() OVER (PARTITION BY id ORDER BY d2, nid) AS rank FROM pairs)"""
+
+
+def _prepared_train(spark, sf_dir):
+    split = _split_features(spark, sf_dir)
+    train = split.filter(F.col("split") == "train")
+    pre = preprocess.fit_preprocessor(train, numerical=list(NUMERIC_FEATURES))
+    return preprocess.transform(pre, train), pre.output_columns()
+
+
+@register(
+    "minority_knn",
+    with_features(
+        f"{prep_ctes()} SELECT id, CAST(rank AS INTEGER) AS rank, nid AS neighbor_id, {R('sqrt(d2)')} AS distance "
+        f"FROM knn WHERE rank <= {KNN_K}"
+    ),
+)
+def q_minority_knn(spark, sf_dir):
+    prepared, cols = _prepared_train(spark, sf_dir)
+    minority = prepared.filter(F.col("isFraud") == 1)
+    return round_doubles(knn_ops.minority_knn(minority, "tx_id", cols, k=KNN_K, seed=SEED))
+
+
+def _u(tag: str) -> str:
+    return (
+        f"CAST(('0x' || substr(md5(concat_ws(':', '{SEED}', CAST(i AS VARCHAR), '{tag}')), 1, 8))::BIGINT AS DOUBLE)"
+        " / CAST(4294967296.0 AS DOUBLE)"
+    )
+
+
+@register(
+    "smote",
+    with_features(
+        f"""{prep_ctes()},
+cls_cnt AS (SELECT count(*) FILTER (WHERE isFraud = 1) AS n_min, count(*) FILTER (WHERE isFraud = 0) AS n_maj
+        FROM splitted WHERE split = 'train'),
+midx AS (SELECT tx_id AS mid, row_number() OVER (ORDER BY tx_id DESC) - 1 AS idx FROM mino),
+syn AS (SELECT i AS syn_id, CAST(floor({_u('sample')} * (n_min * {KNN_K})) AS BIGINT) AS pick, {_u('gap')} AS gap
+        FROM cls_cnt, range(0, CAST(trunc(CAST({SMOTE_RATIO} AS DOUBLE) * n_maj - n_min) AS BIGINT)) t(i)),
+syn2 AS (SELECT syn_id, pick // {KNN_K} AS idx, pick % {KNN_K} + 1 AS rank, gap FROM syn),
+based AS (SELECT s.syn_id, s.gap, m.mid, k.nid FROM syn2 s JOIN midx m USING (idx) JOIN knn k ON k.id = m.mid AND k.rank = s.rank)
+SELECT b.syn_id, a.feature, {R('a.value + b.gap * (n.value - a.value)')} AS value
+FROM based b JOIN ml a ON a.tx_id = b.mid JOIN ml n ON n.tx_id = b.nid AND n.feature = a.feature"""
+    ),
+)
+def q_smote(spark, sf_dir):
+    prepared, cols = _prepared_train(spark, sf_dir)
+    syn = imbalance.smote(prepared, "tx_id", cols, ratio=SMOTE_RATIO, k=KNN_K, seed=SEED)
+    return round_doubles(syn.unpivot(["syn_id"], cols, "feature", "value"))
