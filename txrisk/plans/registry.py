@@ -925,3 +925,150 @@ def q_smote(spark, sf_dir):
     prepared, cols = _prepared_train(spark, sf_dir)
     syn = imbalance.smote(prepared, "tx_id", cols, ratio=SMOTE_RATIO, k=KNN_K, seed=SEED)
     return round_doubles(syn.unpivot(["syn_id"], cols, "feature", "value"))
+
+
+# ---------------------------------------------------------------- I/K: models, scoring, stream
+from txrisk.operators import modeling  # noqa: E402
+from txrisk.plans import training  # noqa: E402
+from txrisk.sources import metrics_sink  # noqa: E402
+
+
+def _prepared(spark, sf_dir, cfg=None):
+    cfg = cfg or training.RunConfig()
+    return training.prepare(spark, _features(spark, sf_dir), cfg), cfg
+
+
+def _fitted(spark, sf_dir, cfg=None):
+    prep, cfg = _prepared(spark, sf_dir, cfg)
+    rows, wcol = training.rebalance(prep, cfg)
+    return training.fit(prep, cfg, rows, wcol), prep, cfg
+
+
+@register("fit_classifier")
+def q_fit_classifier(spark, sf_dir):
+    model, prep, _ = _fitted(spark, sf_dir)
+    return modeling.scored_table(model, prep.test)
+
+
+@register("score_batch")
+def q_score_batch(spark, sf_dir):
+    model, prep, cfg = _fitted(spark, sf_dir)
+    return modeling.score_batch(model, prep.test, cfg.threshold)
+
+
+@register("training_history")
+def q_training_history(spark, sf_dir):
+    cfg = training.RunConfig(params={"epochs": 10})
+    model, _, _ = _fitted(spark, sf_dir, cfg)
+    return modeling.training_history(model)
+
+
+@register("refit_on_train_val")
+def q_refit_on_train_val(spark, sf_dir):
+    prep, cfg = _prepared(spark, sf_dir)
+    model = training.refit_on_train_val(prep, cfg)
+    return modeling.scored_table(model, prep.test)
+
+
+@register("fit_with_validation")
+def q_fit_with_validation(spark, sf_dir):
+    prep, cfg = _prepared(spark, sf_dir, training.RunConfig(use_smote=False))
+    _, history = modeling.fit_with_validation(prep.train, prep.val, prep.cols, {"hidden_layers": [32, 16]}, max_epochs=8)
+    return spark.createDataFrame(history, "epochs int, val_average_precision double")
+
+
+@register("tune")
+def q_tune(spark, sf_dir):
+    prep, cfg = _prepared(spark, sf_dir, training.RunConfig(use_smote=False))
+    _, trials = modeling.tune(prep.train, prep.cols, n_coarse=2, n_fine=2, epochs=5, seed=SEED, val=prep.val)
+    return modeling.trials_frame(spark, trials)
+
+
+@register("score_stream")
+def q_score_stream(spark, sf_dir):
+    from txrisk.operators.features import fit_outlier_bounds
+    from txrisk.plans.feature_plan import build_features
+    from txrisk.streaming.scoring import score_stream
+
+    ledger = _tx(spark, sf_dir)
+    bounds = fit_outlier_bounds(spark, ledger)
+    feats = build_features(spark, ledger, bounds=bounds)
+    prep = training.prepare(spark, feats, training.RunConfig())
+    rows, _ = training.rebalance(prep, training.RunConfig())
+    model = training.fit(prep, training.RunConfig(), rows)
+    # The whole ledger arrives as files; the stream scores every row with stored bounds and parameters.
+    src, sink, ckpt = (scratch_path(spark, n) for n in ("stream-src", "stream-sink", "stream-ckpt"))
+    ledger.repartition(4).write.parquet(src)
+    q = score_stream(spark, src, sink, ckpt, bounds, prep.pre, model)
+    q.awaitTermination()
+    return spark.read.parquet(sink)
+
+
+_UDF_COLS = ["log1p_amount", "inconsistent_orig", "emptied_account", "is_night"]
+# Coefficients of the stand-in logistic model scored through the batch UDF.
+_UDF_CENTER = [11.0, 0.5, 0.3, 0.25]
+_UDF_SCALE = [1.5, 0.5, 0.45, 0.43]
+_UDF_WEIGHTS = [0.8, 1.2, -0.7, 0.4]
+_UDF_BIAS = -3.0
+
+
+def _udf_sql():
+    terms = " + ".join(
+        f"coalesce((CAST({c} AS DOUBLE) - {m}) / {s}, 0.0) * {w}"
+        for c, m, s, w in zip(_UDF_COLS, _UDF_CENTER, _UDF_SCALE, _UDF_WEIGHTS)
+    )
+    return with_features(f"SELECT tx_id, {R(f'1.0 / (1.0 + exp(-(({terms}) + ({_UDF_BIAS}))))')} AS score FROM feat")
+
+
+@register("score_udf", _udf_sql())
+def q_score_udf(spark, sf_dir):
+    fn = modeling.logistic_predict_fn(_UDF_CENTER, _UDF_SCALE, _UDF_WEIGHTS, _UDF_BIAS)
+    udf = modeling.score_udf(fn, len(_UDF_COLS))
+    df = _features(spark, sf_dir)
+    arr = F.array(*[F.col(c).cast("double") for c in _UDF_COLS])
+    return round_doubles(df.select("tx_id", udf(arr).alias("score")))
+
+
+_EVAL_METRICS = [
+    "accuracy", "precision", "recall", "f1_score", "auc_roc", "auc_pr", "true_negatives", "false_positives",
+    "false_negatives", "true_positives", "optimal_threshold", "optimal_f1_score", "threshold",
+]
+
+
+@register(
+    "write_metrics",
+    eval_ctes()
+    + f""", er AS (SELECT CAST(accuracy AS DOUBLE) AS accuracy, CAST(precision AS DOUBLE) AS precision,
+  CAST(recall AS DOUBLE) AS recall, CAST(f1_score AS DOUBLE) AS f1_score, CAST(auc_roc AS DOUBLE) AS auc_roc,
+  CAST(auc_pr AS DOUBLE) AS auc_pr, CAST(tn AS DOUBLE) AS true_negatives, CAST(fp AS DOUBLE) AS false_positives,
+  CAST(fn AS DOUBLE) AS false_negatives, CAST(tp AS DOUBLE) AS true_positives,
+  CAST(best.threshold AS DOUBLE) AS optimal_threshold, CAST(best.f1 AS DOUBLE) AS optimal_f1_score,
+  CAST({THRESHOLD} AS DOUBLE) AS threshold FROM mx, rk, best)
+SELECT metric, {R('value')} AS value FROM er UNPIVOT (value FOR metric IN ({', '.join(_EVAL_METRICS)}))""",
+)
+def q_write_metrics(spark, sf_dir):
+    metrics = ev.evaluate(_scored(spark, sf_dir), THRESHOLD)
+    path = scratch_path(spark, "metrics")
+    metrics_sink.write_metrics(metrics, path)
+    back = spark.read.schema("metric string, value double").json(path)
+    return round_doubles(back)
+
+
+def _fingerprint_sql():
+    parts = []
+    for c in ["tx_id", "step", "type", "amount", "nameOrig", "oldbalanceOrg", "newbalanceOrig", "nameDest",
+              "oldbalanceDest", "newbalanceDest", "isFraud"]:
+        if c in TX_DOUBLES:
+            parts.append(f"coalesce(CAST(CAST({c} AS DECIMAL(38,6)) AS VARCHAR), '\\N')")
+        else:
+            parts.append(f"coalesce(CAST({c} AS VARCHAR), '\\N')")
+    h = f"CAST(('0x' || substr(md5(concat_ws('|', {', '.join(parts)})), 1, 8))::BIGINT AS DECIMAL(38,0))"
+    return (
+        f"WITH {tx_cte()}, hs AS (SELECT count(*) AS n_rows, CAST(sum({h}) AS DECIMAL(38,0)) AS hash_sum FROM tx)\n"
+        "SELECT n_rows, hash_sum, substr(md5(CAST(n_rows AS VARCHAR) || ':' || CAST(hash_sum AS VARCHAR)), 1, 8) AS fingerprint FROM hs"
+    )
+
+
+@register("dataset_fingerprint", _fingerprint_sql())
+def q_dataset_fingerprint(spark, sf_dir):
+    return metrics_sink.dataset_fingerprint(_tx(spark, sf_dir))
