@@ -64,13 +64,13 @@ def _assign(df: DataFrame, label: str, key: str, cuts_by_class: dict, names: lis
     return df.withColumn(col, last if expr is None else expr.otherwise(last))
 
 
-def _cutoffs(df, label, key, ranks_by_class):
+def _cutoffs(df, label, key, ranks_by_class, counts=None):
     """ranks_by_class: {class: [end rank (exclusive) of each leading part]} -> cutoff rows."""
     targets = [(c, r - 1) for c, ranks in ranks_by_class.items() for r in ranks if r > 0]
     found = {}
     if targets:
         with passes_over(df.select(label, key, H)) as data:
-            found = rank_cutoffs(data, H, key, label, targets)
+            found = rank_cutoffs(data, H, key, label, targets, max(counts.values()) if counts else None)
     return {c: [found.get((c, r - 1)) if r > 0 else None for r in ranks] for c, ranks in ranks_by_class.items()}
 
 
@@ -89,7 +89,7 @@ def stratified_split(
     val_ratio = val_size / (1 - test_size)
     _, val_q = split_quotas(rest, val_ratio) if val_size > 0 else (rest, {c: 0 for c in rest})
     hashed = _with_hash(df, key, seed)
-    cuts = _cutoffs(hashed, label, key, {c: [test_q[c], test_q[c] + val_q[c]] for c in counts})
+    cuts = _cutoffs(hashed, label, key, {c: [test_q[c], test_q[c] + val_q[c]] for c in counts}, counts)
     return _assign(hashed, label, key, cuts, ["test", "val", "train"], col).drop(H)
 
 
@@ -112,7 +112,7 @@ def stratified_subsample(df: DataFrame, n: int, seed: int = 42, label: str = TAR
         return df
     quota = approximate_mode(counts, n)
     hashed = _with_hash(df, key, seed)
-    cuts = _cutoffs(hashed, label, key, {c: [quota[c]] for c in counts})
+    cuts = _cutoffs(hashed, label, key, {c: [quota[c]] for c in counts}, counts)
     keep = None
     for c, (cut,) in cuts.items():
         if cut is None:
@@ -144,7 +144,7 @@ def stratified_kfold(df: DataFrame, k: int = 5, seed: int = 42, label: str = TAR
     alloc = kfold_allocation(counts, k)
     ends = {c: [sum(alloc[c][: i + 1]) for i in range(k - 1)] for c in counts}
     hashed = _with_hash(df, key, seed)
-    cuts = _cutoffs(hashed, label, key, ends)
+    cuts = _cutoffs(hashed, label, key, ends, counts)
     out = _assign(hashed, label, key, cuts, [str(i) for i in range(k)], col)
     return out.withColumn(col, F.col(col).cast("int")).drop(H)
 
@@ -158,7 +158,7 @@ def sample_n(df: DataFrame, n: int, seed: int = 42, key: str = KEY) -> DataFrame
     if n <= 0:
         return df.limit(0)
     with passes_over(hashed.select(key, H)) as data:
-        cut = rank_cutoffs(data, H, key, None, [(None, n - 1)])[(None, n - 1)]
+        cut = rank_cutoffs(data, H, key, None, [(None, n - 1)], total)[(None, n - 1)]
     return hashed.filter(at_or_before(H, key, cut)).drop(H)
 
 

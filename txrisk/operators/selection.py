@@ -18,25 +18,34 @@ one task) and no global sort.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 H_BITS = 60
 STEP_BITS = 16
 ROW_LIMIT = 100_000
+FIRST_BUCKET_ROWS = 2048  # aim of the first pass: rows per bucket
 
 
 def _bits(width: int) -> int:
     return max(0, (width - 1).bit_length())
 
 
-def rank_cutoffs(df: DataFrame, h: str, key: str, group: str | None, targets: list[tuple[object, int]]):
+def rank_cutoffs(
+    df: DataFrame, h: str, key: str, group: str | None, targets: list[tuple[object, int]], max_group_rows: int | None = None
+):
     """{(group_value, k): (h, key)} of the row at 0-based rank k of its group in (h, key) order.
 
-    ``targets`` ranks must be < the group's row count.
+    ``targets`` ranks must be < the group's row count. The first pass uses
+    about max_group_rows / FIRST_BUCKET_ROWS buckets (at most 2^16).
     """
     gcol = F.col(group) if group else F.lit(0)
-    first_shift = H_BITS - STEP_BITS
+    if max_group_rows is None:
+        max_group_rows = max(targets, key=lambda t: t[1])[1] + 1
+    bits = min(STEP_BITS, max(1, math.ceil(math.log2(max(2, max_group_rows / FIRST_BUCKET_ROWS)))))
+    first_shift = H_BITS - bits
     counts = (
         df.groupBy(gcol.alias("g"), F.shiftright(F.col(h), first_shift).alias("b")).count().collect()
     )  # <= groups x 2^16 rows

@@ -25,3 +25,17 @@ def passes_over(df: DataFrame):
         yield data
     finally:
         data.unpersist(blocking=False)
+
+
+def materialize(df: DataFrame, name: str = "table") -> DataFrame:
+    """Write ``df`` as parquet below the shared checkpoint folder and read it back.
+
+    Cuts the lineage (a lost executor no longer re-runs the upstream joins)
+    and keeps column pruning and filter pushdown for the passes that follow.
+    """
+    from txrisk.session import scratch_path
+
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from txrisk.operators import evaluation, imbalance, modeling, preprocess, sampling
 from txrisk.operators.correlation import drop_collinear
 from txrisk.plans.feature_plan import build_features
+from txrisk.plans.persist import materialize
 from txrisk.schema import KEY, TARGET
 
 
@@ -49,8 +50,10 @@ def prepare(spark: SparkSession, features: DataFrame, cfg: RunConfig) -> Prepare
         raise ValueError("SMOTE and class weights cannot be used together")
     if cfg.drop_collinear:
         features, _ = drop_collinear(features, cfg.corr_threshold, cfg.corr_sample_size, cfg.seed)
+    # Many passes follow (split cut-offs, fits, transforms, SMOTE): write the feature table once;
+    # the split itself is then a cheap projection over the written table.
+    features = materialize(features, "features")
     split = sampling.stratified_split(features, cfg.test_size, cfg.val_size, cfg.seed)
-    split = split.persist(StorageLevel.MEMORY_AND_DISK)
     train_raw = split.filter(F.col("split") == "train").drop("split")
     pre = preprocess.fit_preprocessor(train_raw, scaler=cfg.scaler)
     cols = pre.output_columns()
