@@ -29,7 +29,8 @@ from pyspark.sql import functions as F
 from txrisk.plans.persist import passes_over
 
 ACCURACY = 10000
-COLLECT_LIMIT = 50000
+COLLECT_LIMIT = 20000  # distinct values per target
+COLLECT_TOTAL = 200000  # distinct values per collect job
 MAX_ROUNDS = 8
 
 
@@ -102,14 +103,10 @@ def _sketch(df: DataFrame, targets: list[tuple[int, _Target]]) -> dict[int, tupl
 def _narrow(df: DataFrame, targets: list[tuple[int, _Target]]) -> None:
     """Sketch inside each bracket, then verify the new brackets with exact counts."""
     proposals = _sketch(df, targets)
-    brackets = [(i, t.col, *proposals[i]) for i, t in targets]
-    tagged = _tag(df, brackets)
-    grouped = tagged.filter(F.col("k").isNotNull()).groupBy("t", "k").count()
-    counts = {(int(r["t"]), int(r["k"])): int(r["count"]) for r in grouped.collect()}  # <= 2 rows per target
+    counts = _bracket_counts(df, [(i, t.col, *proposals[i]) for i, t in targets])
     row = {}
     for i, _ in targets:
-        row[f"b{i}"] = counts.get((i, 0), 0)
-        row[f"n{i}"] = counts.get((i, 1), 0)
+        row[f"b{i}"], row[f"n{i}"] = counts[i]
     verified = []
     for i, t in targets:
         lo, hi = proposals[i]
@@ -133,41 +130,95 @@ def _narrow(df: DataFrame, targets: list[tuple[int, _Target]]) -> None:
             t.distinct = int(row[f"d{i}"])
 
 
-def _tag(df: DataFrame, brackets: list[tuple[int, str, float | None, float | None]]) -> DataFrame:
-    """(t, k, x): k = 0 below, 1 inside the bracket of target t, NULL above.
+def _edges(brackets):
+    """Per column: sorted cut points such that each bracket is a union of whole intervals.
 
-    Brackets travel as a small broadcast table, not as literals, so every round
-    runs the same generated code (compiled once per session).
+    Interval b of a column holds values x with edges[b-1] <= x < edges[b]; a bracket
+    [lo, hi] starts at the edge lo and ends before the edge nextafter(hi).
     """
-    spark = df.sparkSession
-    cols = list(dict.fromkeys(c for _, c, _, _ in brackets))
-    pos = {c: i for i, c in enumerate(cols)}
-    table = spark.createDataFrame(
-        [(i, pos[c], lo, hi) for i, c, lo, hi in brackets], "t int, ci int, lo double, hi double"
-    )
-    long = df.select(F.posexplode(F.array(*[F.col(c).cast("double") for c in cols])).alias("ci", "x")).filter(
-        F.col("x").isNotNull()
-    )
-    x, lo, hi = F.col("x"), F.col("lo"), F.col("hi")
-    inside = (lo.isNull() | (x >= lo)) & (hi.isNull() | (x <= hi))
-    below = lo.isNotNull() & (x < lo)
-    # The bracket table has one row per target: broadcast.
-    return long.join(F.broadcast(table), "ci").select(
-        "t", F.when(inside, F.lit(1)).when(below, F.lit(0)).alias("k"), "x"
-    )
+    per_col: dict[str, set] = {}
+    for _, c, lo, hi in brackets:
+        e = per_col.setdefault(c, set())
+        if lo is not None:
+            e.add(float(lo))
+        if hi is not None:
+            e.add(math.nextafter(float(hi), math.inf))
+    return {c: sorted(e) for c, e in per_col.items()}
+
+
+def _interval_counts(df: DataFrame, edges: dict[str, list[float]], keep=None):
+    """(ci, b, x) per non-null value: b = number of edges <= x, by a multi-column Bucketizer
+    (binary search on the JVM), then one stack into long form.
+
+    ``keep`` (ci -> set of intervals) restricts the output to those intervals.
+    """
+    from pyspark.ml.feature import Bucketizer
+
+    cols = list(edges)
+    splits = [[-math.inf] + (edges[c] or [0.0]) + [math.inf] for c in cols]
+    # An empty edge list gets a dummy cut at 0.0: then b counts it, so shift it back out below.
+    dummy = [not edges[c] for c in cols]
+    src = df.select(*[F.col(c).cast("double").alias(f"x{ci}") for ci, c in enumerate(cols)])
+    bucketed = Bucketizer(
+        splitsArray=splits, inputCols=[f"x{ci}" for ci in range(len(cols))],
+        outputCols=[f"b{ci}" for ci in range(len(cols))], handleInvalid="keep",
+    ).transform(src)
+    stack = ", ".join(f"{ci}, CAST(b{ci} AS INT), x{ci}" for ci in range(len(cols)))
+    long = bucketed.selectExpr(f"stack({len(cols)}, {stack}) AS (ci, b, x)").where(F.col("x").isNotNull())
+    if any(dummy):
+        fix = None
+        for ci, d in enumerate(dummy):
+            if d:
+                cond = F.col("ci") == ci
+                fix = F.when(cond, F.lit(0)) if fix is None else fix.when(cond, F.lit(0))
+        long = long.withColumn("b", fix.otherwise(F.col("b")))
+    if keep is not None:
+        cond = F.lit(False)
+        for ci, wanted in keep.items():
+            if wanted:
+                cond = cond | ((F.col("ci") == ci) & F.col("b").isin(sorted(wanted)))
+        long = long.where(cond)
+    return long, cols
+
+
+def _bracket_counts(df: DataFrame, brackets) -> dict[int, tuple[int, int]]:
+    """{target: (rows below lo, rows in [lo, hi])} from one grouped count over intervals."""
+    edges = _edges(brackets)
+    long, cols = _interval_counts(df, edges)
+    per = {(int(r["ci"]), int(r["b"])): int(r["count"]) for r in long.groupBy("ci", "b").count().collect()}
+    # at most (edges + 1) rows per column
+    out = {}
+    for i, c, lo, hi in brackets:
+        ci, e = cols.index(c), edges[c]
+        b_lo = 0 if lo is None else e.index(float(lo)) + 1
+        b_hi = len(e) if hi is None else e.index(math.nextafter(float(hi), math.inf))
+        below = sum(n for (cc, b), n in per.items() if cc == ci and b < b_lo)
+        inside = sum(n for (cc, b), n in per.items() if cc == ci and b_lo <= b <= b_hi)
+        out[i] = (below, inside)
+    return out
 
 
 def _collect(df: DataFrame, targets: list[tuple[int, _Target]]) -> None:
-    tagged = _tag(df, [(i, t.col, t.lo, t.hi) for i, t in targets])
-    grouped = tagged.filter(F.col("k") == 1).groupBy("t", "x").count()
-    # Size checked before: at most about COLLECT_LIMIT distinct values per target.
-    by_target: dict[int, list[tuple[float, int]]] = {}
+    brackets = [(i, t.col, t.lo, t.hi) for i, t in targets]
+    edges = _edges(brackets)
+    cols = list(edges)
+    keep: dict[int, set] = {}
+    for _, c, lo, hi in brackets:
+        e = edges[c]
+        b_lo = 0 if lo is None else e.index(float(lo)) + 1
+        b_hi = len(e) if hi is None else e.index(math.nextafter(float(hi), math.inf))
+        keep.setdefault(cols.index(c), set()).update(range(b_lo, b_hi + 1))
+    long, _ = _interval_counts(df, edges, keep)
+    grouped = long.groupBy("ci", "x").count()
+    # Size checked before: the brackets hold at most COLLECT_TOTAL distinct values together.
+    by_col: dict[int, list[tuple[float, int]]] = {}
     for r in grouped.collect():
-        by_target.setdefault(int(r["t"]), []).append((float(r["x"]), int(r["count"])))
+        by_col.setdefault(int(r["ci"]), []).append((float(r["x"]), int(r["count"])))
     for i, t in targets:
+        vals = sorted(v for v in by_col.get(cols.index(t.col), []) if (t.lo is None or v[0] >= t.lo) and (t.hi is None or v[0] <= t.hi))
         found = {}
         acc = t.below
-        for v, n in sorted(by_target.get(i, [])):
+        for v, n in vals:
             for k in (t.k0, t.k1):
                 if k not in found and acc + n > k:
                     found[k] = v
@@ -192,8 +243,15 @@ def order_statistics(df: DataFrame, requests: list[tuple[str, int, int]], counts
         if wide:
             _narrow(df, wide)
         ready = [(i, t) for i, t in enumerate(targets) if not t.done and t.small()]
-        if ready:
-            _collect(df, ready)
+        batch, size = [], 0
+        for i, t in ready:  # bound what one collect brings to the driver
+            if batch and size + t.distinct > COLLECT_TOTAL:
+                _collect(df, batch)
+                batch, size = [], 0
+            batch.append((i, t))
+            size += t.distinct
+        if batch:
+            _collect(df, batch)
     if not all(t.done for t in targets):
         raise RuntimeError("exact quantile did not converge")
     return [t.values for t in targets]

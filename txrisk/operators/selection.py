@@ -97,14 +97,14 @@ def _targets_array(h: str, gcol: Column, ranges: dict, payload) -> Column:
     for i, (t, (lo, hi, _, _)) in enumerate(ranges.items()):
         cond = (gcol == F.lit(t[0])) & F.col(h).between(lo, hi) if t[0] is not None else F.col(h).between(lo, hi)
         parts.append(F.when(cond, payload(i, lo, hi)))
-    return F.filter(F.array(*parts), lambda x: x.isNotNull())
+    return F.array(*parts)
 
 
 def _rows_in_ranges(df, h, key, gcol, ranges):
     arr = _targets_array(h, gcol, ranges, lambda i, lo, hi: F.struct(F.lit(i).alias("t"), F.col(h).alias("h"), F.col(key).alias("k")))
     out: dict[int, list] = {}
     # Each range holds at most ROW_LIMIT rows (counted before).
-    for r in df.select(F.explode(arr).alias("e")).select("e.*").collect():
+    for r in df.select(F.explode(arr).alias("e")).where(F.col("e").isNotNull()).select("e.*").collect():
         out.setdefault(int(r["t"]), []).append((int(r["h"]), r["k"]))
     return out
 
@@ -115,7 +115,7 @@ def _sub_counts(df, h, gcol, ranges):
         return F.struct(F.lit(i).alias("t"), F.shiftright(F.col(h) - F.lit(lo), shift).alias("s"))
 
     arr = _targets_array(h, gcol, ranges, payload)
-    grouped = df.select(F.explode(arr).alias("e")).groupBy("e.t", "e.s").count()
+    grouped = df.select(F.explode(arr).alias("e")).where(F.col("e").isNotNull()).groupBy("e.t", "e.s").count()
     out: dict[int, list] = {}
     for r in grouped.collect():  # <= targets x 2^16 rows
         out.setdefault(int(r["t"]), []).append((int(r["s"]), int(r["count"])))
