@@ -3,6 +3,7 @@ from txrisk.functions.columns import (  # noqa: F401
     flag,
     hash_key,
     hash_uniform,
+    long_form,
     nan_to_null,
     risk_level,
     safe_log1p,

@@ -64,3 +64,13 @@ def hash_uniform(seed, *parts) -> Column:
     """Uniform [0, 1) double from the first 8 hex digits of md5('seed:parts')."""
     text = F.concat_ws(":", F.lit(str(seed)), *[_c(p).cast("string") for p in parts])
     return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long") / F.lit(4294967296.0)
+
+
+def long_form(df, cols: list[str]):
+    """(ci, x): one row per (row, column) with the column index and the value as double.
+
+    Many per-column aggregates then become one ``groupBy("ci")`` with a handful of
+    aggregate expressions instead of k x (handful) expressions in one wide aggregate.
+    """
+    parts = ", ".join(f"{i}, CAST(`{c}` AS DOUBLE)" for i, c in enumerate(cols))
+    return df.selectExpr(f"stack({len(cols)}, {parts}) AS (ci, x)")

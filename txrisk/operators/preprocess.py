@@ -60,15 +60,15 @@ def fit_standard(df: DataFrame, cols: list[str]) -> DataFrame:
     """F3 fit: mean and population std (NULLs ignored); std 0 -> 1."""
     if not cols:
         return df.sparkSession.createDataFrame([], STATS_SCHEMA)
-    aggs = []
-    for i, c in enumerate(cols):
-        x = F.col(c).cast("double")
-        aggs += [F.avg(x).alias(f"m{i}"), F.stddev_pop(x).alias(f"s{i}")]
-    row = df.agg(*aggs).first()
+    from txrisk.functions import long_form
+
+    stats = long_form(df, cols).groupBy("ci").agg(F.avg("x").alias("m"), F.stddev_pop("x").alias("s")).collect()
+    by = {int(r["ci"]): r for r in stats}  # one row per column
     rows = []
     for i, c in enumerate(cols):
-        s = row[f"s{i}"]
-        rows.append((c, row[f"m{i}"], 1.0 if (s is None or s == 0.0) else s))
+        m = by[i]["m"] if i in by else None
+        sd = by[i]["s"] if i in by else None
+        rows.append((c, m, 1.0 if (sd is None or sd == 0.0) else sd))
     return df.sparkSession.createDataFrame(rows, STATS_SCHEMA)
 
 

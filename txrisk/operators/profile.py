@@ -39,25 +39,25 @@ def class_balance(df: DataFrame, target: str = TARGET) -> DataFrame:
 
 def describe(df: DataFrame, cols=None) -> DataFrame:
     """D3: pandas ``describe().T`` per numeric column (sample std, exact linear quartiles)."""
+    from txrisk.functions import long_form
+
     spark = df.sparkSession
     cols = cols or numeric_columns(df)
-    aggs = []
-    for i, c in enumerate(cols):
-        x = F.col(c).cast("double")
-        aggs += [
-            F.count(x).alias(f"n{i}"),
-            F.avg(x).alias(f"m{i}"),
-            F.stddev_samp(x).alias(f"s{i}"),
-            F.min(x).alias(f"lo{i}"),
-            F.max(x).alias(f"hi{i}"),
-        ]
-    row = df.agg(*aggs).first()
-    counts = {c: int(row[f"n{i}"]) for i, c in enumerate(cols)}
+    stats = (
+        long_form(df, cols)
+        .groupBy("ci")
+        .agg(F.count("x").alias("n"), F.avg("x").alias("m"), F.stddev_samp("x").alias("s"),
+             F.min("x").alias("lo"), F.max("x").alias("hi"))
+        .collect()  # one row per column
+    )
+    by = {int(r["ci"]): r for r in stats}
+    counts = {c: int(by[i]["n"]) if i in by else 0 for i, c in enumerate(cols)}
     q = exact_quantiles(df, cols, [0.25, 0.5, 0.75], counts=counts)
-    rows = [
-        (c, counts[c], row[f"m{i}"], row[f"s{i}"], row[f"lo{i}"], q[(c, 0.25)], q[(c, 0.5)], q[(c, 0.75)], row[f"hi{i}"])
-        for i, c in enumerate(cols)
-    ]
+    rows = []
+    for i, c in enumerate(cols):
+        r = by.get(i)
+        get = (lambda k: r[k]) if r is not None else (lambda k: None)
+        rows.append((c, counts[c], get("m"), get("s"), get("lo"), q[(c, 0.25)], q[(c, 0.5)], q[(c, 0.75)], get("hi")))
     schema = T.StructType(
         [T.StructField("feature", T.StringType(), False), T.StructField("count", T.LongType(), False)]
         + [T.StructField(n, T.DoubleType(), True) for n in ("mean", "std", "min", "q25", "q50", "q75", "max")]

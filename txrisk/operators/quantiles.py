@@ -74,9 +74,18 @@ def _sketch(df: DataFrame, targets: list[tuple[int, _Target]]) -> dict[int, tupl
         if t.lo is None and t.hi is None and t.below == 0:
             shared.setdefault(t.col, [])
             shared[t.col].extend(t.probs())
-    for c, ps in shared.items():
-        exprs.append(F.percentile_approx(F.col(c).cast("double"), sorted(set(ps)), ACCURACY).alias(f"c_{len(exprs)}"))
-        plan.append(("col", c, sorted(set(ps)), f"c_{len(exprs) - 1}"))
+    by_col = {}
+    if shared:
+        # First round: one grouped sketch over the long form for all columns and probabilities.
+        from txrisk.functions import long_form
+
+        cols = list(shared)
+        probs = sorted({p for ps in shared.values() for p in ps})
+        rows = long_form(df.select(*cols), cols).where(F.col("x").isNotNull()).groupBy("ci").agg(
+            F.percentile_approx("x", probs, ACCURACY).alias("q")
+        ).collect()  # one row per column
+        for r in rows:
+            by_col[cols[int(r["ci"])]] = dict(zip(probs, r["q"]))
     for i, t in targets:
         if t.col in shared and t.lo is None and t.hi is None and t.below == 0:
             continue
@@ -84,10 +93,7 @@ def _sketch(df: DataFrame, targets: list[tuple[int, _Target]]) -> dict[int, tupl
         q_lo, q_hi = t.probs()
         masked = F.when(_in_bracket(c, t.lo, t.hi), c.cast("double"))
         exprs.append(F.percentile_approx(masked, [q_lo, q_hi], ACCURACY).alias(f"t_{i}"))
-    row = df.agg(*exprs).first()
-    by_col = {}
-    for kind, c, ps, alias in plan:
-        by_col[c] = dict(zip(ps, row[alias]))
+    row = df.agg(*exprs).first() if exprs else None
     out = {}
     for i, t in targets:
         q_lo, q_hi = t.probs()
@@ -277,8 +283,10 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], counts:
 
 def _exact_quantiles(df: DataFrame, cols, probs, counts):
     if counts is None:
-        row = df.agg(*[F.count(F.col(c)).alias(c) for c in cols]).first()
-        counts = {c: int(row[c]) for c in cols}
+        from txrisk.functions import long_form
+
+        got = {int(r["ci"]): int(r["n"]) for r in long_form(df, cols).groupBy("ci").agg(F.count("x").alias("n")).collect()}
+        counts = {c: got.get(i, 0) for i, c in enumerate(cols)}
     requests, plan = [], {}
     for c in cols:
         n = counts[c]
