@@ -67,7 +67,9 @@ def prepare(spark: SparkSession, features: DataFrame, cfg: RunConfig) -> Prepare
 def rebalance(prep: Prepared, cfg: RunConfig):
     """(training rows, weight column or None) after SMOTE or class weights."""
     if cfg.use_smote:
-        return imbalance.oversample(prep.train, KEY, prep.cols, ratio=cfg.smote_ratio, seed=cfg.seed), None
+        # The fit makes several passes: keep the oversampled rows instead of re-running kNN + SMOTE.
+        rows = imbalance.oversample(prep.train, KEY, prep.cols, ratio=cfg.smote_ratio, seed=cfg.seed)
+        return rows.persist(StorageLevel.MEMORY_AND_DISK), None
     if cfg.use_class_weights:
         w = imbalance.class_weights(prep.train)
         return imbalance.with_class_weights(prep.train, w), "weight"
