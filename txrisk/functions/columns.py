@@ -32,8 +32,8 @@ def safe_ratio(num, den) -> Column:
 
 
 def decide(prob, threshold: float) -> Column:
-    """Predicted class: probability >= threshold."""
-    return flag(_c(prob) >= F.lit(float(threshold)))
+    """Predicted class: probability >= threshold (NaN counts as not reaching it)."""
+    return flag(nan_to_null(prob) >= F.lit(float(threshold)))
 
 
 # Risk bands of the scorer (strict >).
@@ -42,7 +42,7 @@ RISK_MEDIUM = 0.3
 
 
 def risk_level(prob) -> Column:
-    p = _c(prob)
+    p = nan_to_null(prob)  # Spark orders NaN above every number; the bands must not
     return (
         F.when(p > RISK_HIGH, F.lit("HIGH"))
         .when(p > RISK_MEDIUM, F.lit("MEDIUM"))

@@ -58,12 +58,25 @@ def _moments_fn(k: int, shift: np.ndarray):
 
 def pairwise_moments(df: DataFrame, cols: list[str]) -> DataFrame:
     """(i, j, n, sx, sy, sxx, syy, sxy) summed over rows where both columns are non-null."""
+    from txrisk.functions import long_form
+    from txrisk.plans.persist import passes_over
+
     k = len(cols)
-    data = df.select(*[F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(cols)])
-    row = data.agg(*[F.min(f"c{i}").alias(f"m{i}") for i in range(k)]).first()
-    shift = np.array([row[f"m{i}"] if row[f"m{i}"] is not None else 0.0 for i in range(k)], dtype="float64")
-    parts = data.mapInPandas(_moments_fn(k, shift), MOMENT_SCHEMA)
-    return parts.groupBy("i", "j").agg(*[F.sum(f).alias(f) for f in _MOMENT_FIELDS])
+    with passes_over(df.select(*[F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(cols)])) as data:
+        mins = long_form(data, data.columns).groupBy("ci").agg(F.min("x").alias("m")).collect()  # k rows
+        shift = np.zeros(k, dtype="float64")
+        for r in mins:
+            shift[int(r["ci"])] = r["m"] if r["m"] is not None else 0.0
+        parts = data.mapInPandas(_moments_fn(k, shift), MOMENT_SCHEMA)
+        # Summed inside the block (k^2 rows), so the persisted input can be released afterwards.
+        return _sum_moments(parts)
+
+
+def _sum_moments(parts: DataFrame) -> DataFrame:
+    """Sum the per-partition moments and bring the k^2 result rows into a local table."""
+    spark = parts.sparkSession
+    summed = parts.groupBy("i", "j").agg(*[F.sum(f).alias(f) for f in _MOMENT_FIELDS]).collect()  # k^2 rows
+    return spark.createDataFrame(summed, MOMENT_SCHEMA)
 
 
 def correlation_matrix(df: DataFrame, cols: list[str] | None = None) -> DataFrame:

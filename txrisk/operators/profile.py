@@ -39,10 +39,17 @@ def class_balance(df: DataFrame, target: str = TARGET) -> DataFrame:
 
 def describe(df: DataFrame, cols=None) -> DataFrame:
     """D3: pandas ``describe().T`` per numeric column (sample std, exact linear quartiles)."""
+    from txrisk.plans.persist import passes_over
+
+    cols = cols or numeric_columns(df)
+    with passes_over(df.select(*cols)) as data:  # one stats pass + the quantile passes
+        return _describe(data, cols)
+
+
+def _describe(df: DataFrame, cols) -> DataFrame:
     from txrisk.functions import long_form
 
     spark = df.sparkSession
-    cols = cols or numeric_columns(df)
     stats = (
         long_form(df, cols)
         .groupBy("ci")
