@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 H_BITS = 60
 STEP_BITS = 16
-ROW_LIMIT = 100_000
+ROW_LIMIT = 20_000  # rows of one refined bucket collected to the driver
 FIRST_BUCKET_ROWS = 2048  # aim of the first pass: rows per bucket
 
 
