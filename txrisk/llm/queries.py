@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import exact_dedup
+from . import exact_dedup, packing
 
 QUERIES = {
+    "op1_packing": packing.op1_packing,
     "op9_exact_dedup": exact_dedup.op9_exact_dedup,
 }
 
