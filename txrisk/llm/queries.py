@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, packing
+from . import exact_dedup, packing, toxicity
 
 QUERIES = {
     "op1_packing": packing.op1_packing,
+    "op6_toxicity": toxicity.op6_toxicity,
     "op9_exact_dedup": exact_dedup.op9_exact_dedup,
 }
 
