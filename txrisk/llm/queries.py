@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, packing, toxicity
+from . import exact_dedup, packing, toxicity, url_filter
 
 QUERIES = {
     "op1_packing": packing.op1_packing,
+    "op4_url_filter": url_filter.op4_url_filter,
     "op6_toxicity": toxicity.op6_toxicity,
     "op9_exact_dedup": exact_dedup.op9_exact_dedup,
 }
 
 ORACLE = {
+    "op4_url_filter": url_filter.ORACLE_SQL,
     "op9_exact_dedup": exact_dedup.ORACLE_SQL,
 }
