@@ -12,6 +12,7 @@ from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -186,6 +187,18 @@ def rare_grams(index: Index, frequency: np.ndarray) -> np.ndarray:
     return rare
 
 
+def _blocks(texts: DataFrame, benchmark: DataFrame) -> Iterator:
+    """Broadcasts of (index, rare grams), one per block of test items."""
+    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where("text is not null").distinct()
+    words = items.agg(F.sum(F.size(F.split("text", r"\s+")))).first()[0] or 0
+    n_blocks = 1 + words // BLOCK_WORDS
+    for k in range(n_blocks):
+        block = items.where(F.pmod(F.xxhash64("item_id"), F.lit(n_blocks)) == k).collect()
+        index = Index(sorted(((r["item_id"], r["text"]) for r in block), key=lambda r: (r[0] is None, r[0] or 0, r[1])))
+        if index.words:
+            yield texts.sparkSession.sparkContext.broadcast((index, rare_grams(index, document_frequency(texts, index))))
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
     """doc_id, item_id, score, seeds, start_word, end_word: the best place of each item in each text that holds it.
 
@@ -194,20 +207,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, min_score: float = MIN_S
     that share an id give their best match; repeated rows of documents give repeated rows. Either table may be
     empty. Only doc_id, item_id and text are read.
     """
-    spark = docs.sparkSession
     texts = _texts(docs)
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where("text is not null").distinct()
-    words = items.agg(F.sum(F.size(F.split("text", r"\s+")))).first()[0] or 0
-    n_blocks = 1 + words // BLOCK_WORDS
     schema = "doc_id long, item_id long, score double, seeds long, start_word long, end_word long"
     out = []
-    for k in range(n_blocks):
-        block = items.where(F.pmod(F.xxhash64("item_id"), F.lit(n_blocks)) == k).collect()
-        index = Index(sorted(((r["item_id"], r["text"]) for r in block), key=lambda r: (r[0] is None, r[0] or 0, r[1])))
-        if not index.words:
-            continue
-        rare = rare_grams(index, document_frequency(texts, index))
-        shared = spark.sparkContext.broadcast((index, rare))
+    for shared in _blocks(texts, benchmark):
 
         def scan(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             index, rare = shared.value
@@ -218,14 +221,25 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, min_score: float = MIN_S
                 yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, types)], names=["doc_id", "item_id", "score", "seeds", "start_word", "end_word"])
 
         out.append(texts.mapInArrow(scan, schema))
-    return reduce(DataFrame.unionByName, out) if out else spark.createDataFrame([], schema)
+    return reduce(DataFrame.unionByName, out) if out else docs.sparkSession.createDataFrame([], schema)
 
 
-def op5_decontaminate(spark, sf_dir):
-    return contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+def keep_uncontaminated(docs: DataFrame, benchmark: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
+    """The rows of ``docs`` that hold no test item, with all their columns."""
+    out = docs
+    for shared in _blocks(_texts(docs), benchmark):
+        out = out.where(~_holds(shared, min_score)(F.coalesce(F.col("text").cast("string"), F.lit(""))))
+    return out
 
 
-def keep_uncontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that hold no test item, with all their columns."""
-    bad = contaminated(docs, benchmark).select(F.col("doc_id").alias("__id")).distinct()
-    return docs.join(bad, docs["doc_id"].cast("long") == bad["__id"], "left_anti")
+def _holds(shared, min_score: float):
+    @F.pandas_udf("boolean")
+    def holds(texts: pd.Series) -> pd.Series:
+        index, rare = shared.value
+        return texts.map(lambda t: bool(matches(index, rare, t, min_score))).astype(bool)
+
+    return holds
+
+
+def op5_decontaminate(spark, sf_dir):
+    return contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))

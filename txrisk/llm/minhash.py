@@ -295,6 +295,12 @@ def near_duplicates(docs: DataFrame, percent: int = LINK_PERCENT, shingle: int =
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept"))
 
 
+def keep_one_of_each(docs: DataFrame, percent: int) -> DataFrame:
+    """The rows of ``docs`` with the smallest id of their component, and rows without an id, with all columns."""
+    gone = near_duplicates(docs, percent).where("not kept and doc_id is not null").select(F.col("doc_id").alias("__id")).distinct()
+    return docs.join(gone, docs["doc_id"].cast("long") == gone["__id"], "left_anti")
+
+
 def op10_minhash(spark, sf_dir):
     return near_duplicates(read_table(spark, sf_dir, "documents"))
 

@@ -13,6 +13,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -226,5 +227,10 @@ def op6_toxicity(spark, sf_dir):
 
 def keep_inoffensive(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` that the model doesn't predict to be toxic, with all their columns."""
-    rejected = score(docs, fit(docs, labels)).where("predicted = 1").select(F.col("doc_id").alias("__id")).distinct()
-    return docs.join(rejected, docs["doc_id"].cast("long") == rejected["__id"], "left_anti")
+    model = fit(docs, labels)
+
+    @F.pandas_udf("boolean")
+    def offends(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: noisy_or(model.sentences(t or "")) >= 0.5).astype(bool)
+
+    return docs.where(~offends(F.coalesce(F.col("text").cast("string"), F.lit(""))))
