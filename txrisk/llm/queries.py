@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import decontaminate, exact_dedup, minhash, packing, toxicity, url_filter
+from . import decontaminate, exact_dedup, minhash, packing, suffix_dedup, toxicity, url_filter
 
 QUERIES = {
     "op1_packing": packing.op1_packing,
     "op4_url_filter": url_filter.op4_url_filter,
     "op5_decontaminate": decontaminate.op5_decontaminate,
     "op6_toxicity": toxicity.op6_toxicity,
+    "op7_suffix_dedup": suffix_dedup.op7_suffix_dedup,
     "op9_exact_dedup": exact_dedup.op9_exact_dedup,
     "op10_minhash": minhash.op10_minhash,
 }
