@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import decontaminate, exact_dedup, lm_score, minhash, packing, suffix_dedup, toxicity, url_filter
+from . import decontaminate, exact_dedup, html_extract, lm_score, minhash, packing, suffix_dedup, toxicity, url_filter
 
 QUERIES = {
     "op1_packing": packing.op1_packing,
+    "op2_html_extract": html_extract.op2_html_extract,
     "op3_lm_score": lm_score.op3_lm_score,
     "op4_url_filter": url_filter.op4_url_filter,
     "op5_decontaminate": decontaminate.op5_decontaminate,
