@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, exact_dedup, html_extract, lm_score, minhash, packing, suffix_dedup, toxicity, url_filter
+from . import decontaminate, exact_dedup, html_extract, lm_score, minhash, packing, suffix_dedup, token_output, toxicity, url_filter
 
 QUERIES = {
     "op1_packing": packing.op1_packing,
@@ -12,6 +12,7 @@ QUERIES = {
     "op5_decontaminate": decontaminate.op5_decontaminate,
     "op6_toxicity": toxicity.op6_toxicity,
     "op7_suffix_dedup": suffix_dedup.op7_suffix_dedup,
+    "op8_token_output": token_output.op8_token_output,
     "op9_exact_dedup": exact_dedup.op9_exact_dedup,
     "op10_minhash": minhash.op10_minhash,
 }
