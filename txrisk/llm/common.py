@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 import os
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txrisk.plans.persist import materialize
 
-__all__ = ["SPACES", "materialize", "partition_id", "read_table", "text_bytes", "tokenizer_path"]
+__all__ = ["SPACES", "materialize", "packed", "partition_id", "read_table", "text_bytes", "tokenizer_path", "unpacked"]
 
 #: Fixed value: the white space that the contracts name, as a character class.
 SPACES = r"[\x20\x09-\x0D]"
@@ -38,3 +40,23 @@ def text_bytes(column: str = "text") -> Column:
 def partition_id() -> int:
     ctx = TaskContext.get()
     return ctx.partitionId() if ctx else 0
+
+
+def packed(rows: DataFrame, column: str = "text") -> DataFrame:
+    """``rows`` with a binary column compressed, for a shuffle; :func:`unpacked` undoes it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zstandard
+
+        pack = zstandard.ZstdCompressor(level=1).compress
+        for batch in batches:
+            at = batch.schema.get_field_index(column)
+            yield batch.set_column(at, column, pa.array([pack(t.as_py()) for t in batch.column(at)], pa.binary()))
+
+    return rows.mapInArrow(run, rows.schema)
+
+
+def unpacked(data: bytes) -> bytes:
+    import zstandard
+
+    return zstandard.ZstdDecompressor().decompress(data)

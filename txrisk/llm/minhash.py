@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, read_table, text_bytes
+from .common import materialize, packed, read_table, text_bytes, unpacked
 from .components import components
 
 #: Words of a shingle and coordinates of a sketch.
@@ -243,12 +243,14 @@ def links(docs: DataFrame, table: DataFrame, percent: int, shingle: int = SHINGL
     other = F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1))
     work = member.withColumn("other", other).select("doc_id", "leader", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
     needed = groups.select(F.col("doc_id").alias("__id")).distinct()
-    texts = docs.select(F.col("doc_id").cast("long").alias("__id"), text_bytes("text").alias("text")).join(needed, "__id")
+    texts = docs.select(F.col("doc_id").cast("long").alias("__id"), text_bytes("text").alias("text"))
+    # Both sides grow with the data: always a merge join, of texts that are compressed first.
+    texts = packed(texts).join(needed.hint("merge"), "__id")
 
     def to_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         make = _shingles(shingle)
         for batch in batches:
-            sets = pa.array([make(t.as_py()).tobytes() for t in batch.column(1)], pa.binary())
+            sets = pa.array([make(unpacked(t.as_py())).tobytes() for t in batch.column(1)], pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column(0), sets], names=["__id", "keys"])
 
     sets = texts.mapInArrow(to_sets, "__id long, keys binary")
@@ -282,8 +284,9 @@ def near_duplicates(docs: DataFrame, percent: int = LINK_PERCENT, shingle: int =
     """doc_id, n_shingles, component_id, kept: one row per input row.
 
     Null texts count as empty; texts without words have an empty set, are linked with nothing and are their own
-    component. Equal sets are linked. Rows that share an id are one node; a row without an id takes the
-    component of its set, or null. An empty table gives an empty result; other columns are not read.
+    component. Equal sets are one class, named by its smallest id; classes named alike, where ids repeat, are
+    one node. A row without an id takes the component of its set, or null. An empty table gives an empty
+    result; other columns are not read.
     """
     table = materialize(sketch_table(docs, percent / 100, shingle), "op10-sketches")
     pairs = materialize(links(docs, table, percent, shingle).distinct(), "op10-links")
@@ -297,7 +300,9 @@ def near_duplicates(docs: DataFrame, percent: int = LINK_PERCENT, shingle: int =
 
 def keep_one_of_each(docs: DataFrame, percent: int) -> DataFrame:
     """The rows of ``docs`` with the smallest id of their component, and rows without an id, with all columns."""
-    gone = near_duplicates(docs, percent).where("not kept and doc_id is not null").select(F.col("doc_id").alias("__id")).distinct()
+    judged = near_duplicates(docs, percent).where("doc_id is not null")
+    # Where ids repeat, an id stays if any of its rows does.
+    gone = judged.groupBy(F.col("doc_id").alias("__id")).agg(F.max("kept").alias("kept")).where("not kept").select("__id")
     return docs.join(gone, docs["doc_id"].cast("long") == gone["__id"], "left_anti")
 
 
