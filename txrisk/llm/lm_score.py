@@ -29,7 +29,7 @@ HEAD = 79
 TAILS = 79
 END, OTHER = 0, CLASSES - 1
 #: Words whose counts go along to the tasks; the counts of all others are joined.
-FREQUENT = 200_000
+FREQUENT = 100_000
 #: Training: vector length, steps, contexts a step, noise classes a step.
 DIMENSION = 24
 STEPS = 1_500
@@ -102,8 +102,18 @@ class Classes:
 
 
 def word_classes(vocab: DataFrame) -> Classes:
-    top = vocab.where("length(word) > 0").orderBy(F.desc("c"), "word").limit(FREQUENT).toPandas()
-    frequent = dict(zip(map(bytes, top["word"]), map(int, top["c"])))
+    # The least count that at most FREQUENT words reach, by steps of an eighth of an octave: no global sort.
+    words = vocab.where("length(word) > 0").withColumn("step", F.floor(8 * F.log2("c")).cast("int"))
+    steps, reached = sorted(((r["step"], r["n"]) for r in words.groupBy("step").agg(F.count("*").alias("n")).collect()), reverse=True), 0
+    least = steps[0][0] if steps else 0
+    for step, n in steps:
+        reached += n
+        if reached > FREQUENT:
+            break
+        least = step
+    top = words.where(F.col("step") >= least).select("word", "c").toArrow()
+    pairs = sorted(zip(top.column("word").to_pylist(), top.column("c").to_pylist()), key=lambda p: (-p[1], p[0]))
+    frequent = dict(pairs[:max(FREQUENT, HEAD)])
     head = {w: k + 1 for k, w in enumerate(list(frequent)[:HEAD])}
 
     def tails(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -144,8 +154,10 @@ def class_trigrams(texts: DataFrame, classes: Classes) -> tuple[np.ndarray, np.n
         at = np.flatnonzero(seen)
         yield _batch({"code": pa.array(at), "n": pa.array(seen[at].astype(np.int64))})
 
-    rows = texts.mapInArrow(count, "code long, n long").groupBy("code").agg(F.sum("n").alias("n")).toPandas().sort_values("code")
-    return rows["code"].to_numpy(np.int64), rows["n"].to_numpy(np.int64)
+    rows = texts.mapInArrow(count, "code long, n long").groupBy("code").agg(F.sum("n").alias("n")).toArrow()
+    code, n = (rows.column(c).to_numpy() for c in ("code", "n"))
+    order = np.argsort(code)
+    return code[order], n[order]
 
 
 def trigram_codes(k: np.ndarray) -> np.ndarray:
@@ -254,9 +266,11 @@ def train(codes: np.ndarray, counts: np.ndarray, n: int = CLASSES, steps: int =
 
 
 def _sum_rows(rows: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
-    one_hot = np.zeros((n, len(rows)), np.float32)
-    one_hot[rows, np.arange(len(rows))] = 1
-    return one_hot @ values
+    order = np.argsort(rows, kind="stable")
+    first = np.flatnonzero(np.diff(rows[order], prepend=-1))
+    out = np.zeros((n, values.shape[1]))
+    out[rows[order][first]] = np.add.reduceat(values[order], first)
+    return out
 
 
 def score(docs: DataFrame) -> DataFrame:
