@@ -79,6 +79,12 @@ class Model:
             self._learn(new)
         at = np.fromiter(map(self.index.__getitem__, words), "i8", len(words))
         ends = self.word_ends[at]
+        # A line break ends the sentence of the word before it and is no word itself.
+        broken = at == self.index.get(_BREAK.strip(), -1)
+        ends[:-1] |= broken[1:]
+        at, ends = at[~broken], ends[~broken]
+        if not len(at):
+            return np.zeros(0)
         ends[-1] = False
         starts = np.concatenate([[0], np.flatnonzero(ends) + 1])
         return self.bias + np.add.reduceat(self.word_weight[at], starts)
@@ -189,8 +195,9 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Model:
     known = known.where(F.pmod(F.xxhash64("__id"), F.lit(1_000_000)) < int(share * 1_000_000))
     text = F.coalesce(F.col("text"), F.lit(""))
     bags = docs.select(F.col("doc_id").alias("__doc"), text.alias("__text")).where(F.char_length("__text") <= FIT_CHARS)
-    sample = bags.join(known, F.col("__doc") == F.col("__id")).select("__doc", "__text", "__toxic").limit(rows + rows // 4).toPandas().sort_values(["__doc", "__text"])
-    return fit_sentences(sample["__text"].tolist(), (sample["__toxic"] > 0).astype(int).tolist())
+    sample = bags.join(known, F.col("__doc") == F.col("__id")).select("__doc", "__text", "__toxic").limit(rows + rows // 4).toArrow()
+    bags = sorted(zip(*(sample.column(c).to_pylist() for c in ("__doc", "__text", "__toxic"))))
+    return fit_sentences([t for _, t, _ in bags], [int(y > 0) for _, _, y in bags])
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
