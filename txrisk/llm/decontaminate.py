@@ -179,11 +179,13 @@ def document_frequency(texts: DataFrame, index: Index) -> np.ndarray:
 
 
 def rare_grams(index: Index, frequency: np.ndarray) -> np.ndarray:
-    """The rarer half of each item's grams: also an item that was copied very often keeps its seeds."""
+    """The rarer half of each item's grams that occur at all: also an item that was copied often keeps its seeds."""
     rare = np.zeros(len(index.keys), bool)
     for w in index.words:
         g = np.searchsorted(index.keys, index.grams(w))
-        rare[g[frequency[g] <= np.median(frequency[g])]] = True
+        g = g[frequency[g] > 0]
+        if len(g):
+            rare[g[frequency[g] <= np.median(frequency[g])]] = True
     return rare
 
 
