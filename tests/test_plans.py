@@ -51,15 +51,11 @@ def test_knn_and_smote_plans_have_no_cross_joins(spark):
     pdf = pd.DataFrame(rng.normal(size=(300, 3)), columns=["a", "b", "c"])
     pdf["id"] = np.arange(300)
     old = knn.BLOCK
-    knn.BLOCK = 32  # force the multi-block path with the completion join
-    held = []
+    knn.BLOCK = 16  # several rounds of cuts
     try:
-        plan = knn._minority_knn(spark.createDataFrame(pdf), "id", ["a", "b", "c"], 5, 42, held)
-        _no_cross(plan)
+        _no_cross(knn._minority_knn(spark.createDataFrame(pdf), "id", ["a", "b", "c"], 5))
     finally:
         knn.BLOCK = old
-        for h in held:
-            h.unpersist()
 
 
 def test_split_assignment_is_map_only(spark):

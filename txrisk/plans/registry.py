@@ -20,7 +20,8 @@ from txrisk.plans.feature_plan import order_columns, tpch_feature_table
 from txrisk.plans.oracle_sql import R, features_ctes, tx_cte, with_features
 from txrisk.schema import BALANCE_COLS, INDICATOR_COLS, NUMERIC_FEATURES
 from txrisk.sources.scored import scored_events, scored_sql
-from txrisk.sources.transactions import extract_target, normalise_ledger, tpch_transactions
+from txrisk.session import scratch_path
+from txrisk.sources.transactions import extract_target, load_transactions, tpch_transactions
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -75,19 +76,41 @@ def _features(spark, sf_dir):
     return tpch_feature_table(spark, sf_dir)
 
 
+def _profile_features(spark, sf_dir):
+    """Features for results that read no balance: planned without the job that fits the bounds."""
+    return tpch_feature_table(spark, sf_dir, clip=False)
+
+
 def _tx(spark, sf_dir):
     return tpch_transactions(spark, sf_dir)
 
 
 # ---------------------------------------------------------------- A: sources
-@register("load_transactions", f"WITH {tx_cte()} SELECT {sel_round(TX_DOUBLES, TX_OTHER)} FROM tx")
+_LOADED = f"SELECT tx_id, step, type, nameOrig, nameDest, isFraud, {', '.join(R(c) + ' AS ' + c for c in TX_DOUBLES)} FROM tx"
+
+
+def _ledger_files(spark, sf_dir):
+    """The ledger as CSV, its columns in another order and one more, and as parquet."""
+    tx = _tx(spark, sf_dir)
+    csv, parquet = scratch_path(spark, "ledger") + ".csv", scratch_path(spark, "ledger") + ".parquet"
+    tx.select("isFraud", F.lit("x").alias("channel"), *reversed([c for c in tx.columns if c != "isFraud"])).write.option("header", True).csv(csv)
+    tx.write.parquet(parquet)
+    return csv, parquet
+
+
+@register(
+    "load_transactions",
+    f"WITH {tx_cte()}, l AS ({_LOADED}) SELECT 'csv' AS source, 'x' AS channel, * FROM l UNION ALL SELECT 'parquet', NULL, * FROM l",
+)
 def q_load_transactions(spark, sf_dir):
-    return round_doubles(normalise_ledger(_tx(spark, sf_dir)))
+    csv, parquet = (load_transactions(spark, p) for p in _ledger_files(spark, sf_dir))
+    both = csv.withColumn("source", F.lit("csv")).unionByName(parquet.withColumn("source", F.lit("parquet")), allowMissingColumns=True)
+    return round_doubles(both.select("source", "channel", "tx_id", "step", "type", "nameOrig", "nameDest", "isFraud", *TX_DOUBLES))
 
 
 @register("extract_target", f"WITH {tx_cte()} SELECT tx_id, isFraud FROM tx")
 def q_extract_target(spark, sf_dir):
-    return extract_target(_tx(spark, sf_dir))[1]
+    return extract_target(load_transactions(spark, _ledger_files(spark, sf_dir)[0]))[1]
 
 
 _DTYPE_SQL = with_features(
@@ -99,7 +122,7 @@ _DTYPE_SQL = with_features(
 
 @register("dtype_counts", _DTYPE_SQL)
 def q_dtype_counts(spark, sf_dir):
-    return profile.dtype_counts(_features(spark, sf_dir))
+    return profile.dtype_counts(_profile_features(spark, sf_dir))
 
 
 # ---------------------------------------------------------------- B: features
@@ -241,7 +264,7 @@ def q_feature_table(spark, sf_dir):
     ),
 )
 def q_dataset_statistics(spark, sf_dir):
-    return round_doubles(profile.dataset_statistics(_features(spark, sf_dir)))
+    return round_doubles(profile.dataset_statistics(_profile_features(spark, sf_dir)))
 
 
 @register(
@@ -252,7 +275,7 @@ def q_dataset_statistics(spark, sf_dir):
     ),
 )
 def q_class_balance(spark, sf_dir):
-    return round_doubles(profile.class_balance(_features(spark, sf_dir)))
+    return round_doubles(profile.class_balance(_profile_features(spark, sf_dir)))
 
 
 def _long_numeric(cols, source="feat", name="long_num", keys=()):
@@ -296,7 +319,7 @@ def q_missing_counts(spark, sf_dir):
 
 @register("type_distribution", with_features("SELECT type, count(*) AS n FROM feat GROUP BY type"))
 def q_type_distribution(spark, sf_dir):
-    return profile.type_distribution(_features(spark, sf_dir))
+    return profile.type_distribution(_profile_features(spark, sf_dir))
 
 
 def _rate_sql(col, percent):
@@ -306,17 +329,17 @@ def _rate_sql(col, percent):
 
 @register("fraud_rate_by_type", _rate_sql("type", False))
 def q_fraud_rate_by_type(spark, sf_dir):
-    return round_doubles(profile.fraud_rate_by(_features(spark, sf_dir), "type"))
+    return round_doubles(profile.fraud_rate_by(_profile_features(spark, sf_dir), "type"))
 
 
 @register("fraud_rate_by_hour", _rate_sql("hour_of_day", True))
 def q_fraud_rate_by_hour(spark, sf_dir):
-    return round_doubles(profile.fraud_rate_by(_features(spark, sf_dir), "hour_of_day", percent=True))
+    return round_doubles(profile.fraud_rate_by(_profile_features(spark, sf_dir), "hour_of_day", percent=True))
 
 
 @register("fraud_rate_by_day", _rate_sql("day_of_month", True))
 def q_fraud_rate_by_day(spark, sf_dir):
-    return round_doubles(profile.fraud_rate_by(_features(spark, sf_dir), "day_of_month", percent=True))
+    return round_doubles(profile.fraud_rate_by(_profile_features(spark, sf_dir), "day_of_month", percent=True))
 
 
 @register(
@@ -915,7 +938,7 @@ def _u(tag: str) -> str:
         f"""{prep_ctes()},
 cls_cnt AS (SELECT count(*) FILTER (WHERE isFraud = 1) AS n_min, count(*) FILTER (WHERE isFraud = 0) AS n_maj
         FROM splitted WHERE split = 'train'),
-midx AS (SELECT tx_id AS mid, row_number() OVER (ORDER BY tx_id DESC) - 1 AS idx FROM mino),
+midx AS (SELECT tx_id AS mid, row_number() OVER (ORDER BY {hash_sql()}, tx_id) - 1 AS idx FROM mino),
 syn AS (SELECT i AS syn_id, CAST(floor({_u('sample')} * (n_min * {KNN_K})) AS BIGINT) AS pick, {_u('gap')} AS gap
         FROM cls_cnt, range(0, CAST(trunc(CAST({SMOTE_RATIO} AS DOUBLE) * n_maj - n_min) AS BIGINT)) t(i)),
 syn2 AS (SELECT syn_id, pick // {KNN_K} AS idx, pick % {KNN_K} + 1 AS rank, gap FROM syn),
@@ -956,7 +979,29 @@ def q_fit_classifier(spark, sf_dir):
 @register("score_batch")
 def q_score_batch(spark, sf_dir):
     model, prep, cfg = _fitted(spark, sf_dir)
-    return modeling.score_batch(model, prep.test, cfg.threshold)
+    return modeling.score_batch(model, preprocess.transform(prep.pre, _features(spark, sf_dir)), cfg.threshold)
+
+
+def _contradictions(scored, threshold):
+    """One row: scored rows, distinct keys, and rows whose decision or risk band contradicts their probability."""
+    p = F.col("probability")
+    band = F.when(p > 0.7, "HIGH").when(p > 0.3, "MEDIUM").otherwise("LOW")
+    return scored.agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_distinct("tx_id").alias("n_keys"),
+        F.count_if((p >= threshold).cast("int") != F.col("is_fraud").cast("int")).alias("wrong_decisions"),
+        F.count_if(F.col("risk_level") != band).alias("wrong_bands"),
+        F.count_if(p.isNull() | (p < 0) | (p > 1) | (F.col("threshold_used") != threshold)).alias("wrong_values"),
+    )
+
+
+_CONSISTENT = f"WITH {tx_cte()} SELECT count(*) AS n_rows, count(DISTINCT tx_id) AS n_keys, 0::BIGINT AS wrong_decisions, 0::BIGINT AS wrong_bands, 0::BIGINT AS wrong_values FROM tx"
+
+
+@register("score_batch_consistency", _CONSISTENT)
+def q_score_batch_consistency(spark, sf_dir):
+    cfg = training.RunConfig(algo="logreg", use_smote=False, use_class_weights=True)
+    model, prep, cfg = _fitted(spark, sf_dir, cfg)
+    return _contradictions(modeling.score_batch(model, preprocess.transform(prep.pre, _features(spark, sf_dir)), cfg.threshold), cfg.threshold)
 
 
 @register("training_history")
@@ -969,8 +1014,8 @@ def q_training_history(spark, sf_dir):
 @register("refit_on_train_val")
 def q_refit_on_train_val(spark, sf_dir):
     prep, cfg = _prepared(spark, sf_dir)
-    model = training.refit_on_train_val(prep, cfg)
-    return modeling.scored_table(model, prep.test)
+    model, merged = training.refit_on_train_val(prep, cfg)
+    return modeling.scored_table(model, merged.test)
 
 
 @register("fit_with_validation")
@@ -1001,7 +1046,7 @@ def q_score_stream(spark, sf_dir):
     model = training.fit(prep, training.RunConfig(), rows)
     # The whole ledger arrives as files; the stream scores every row with stored bounds and parameters.
     src, sink, ckpt = (scratch_path(spark, n) for n in ("stream-src", "stream-sink", "stream-ckpt"))
-    ledger.repartition(4).write.parquet(src)
+    ledger.write.parquet(src)
     q = score_stream(spark, src, sink, ckpt, bounds, prep.pre, model)
     q.awaitTermination()
     return spark.read.parquet(sink)
@@ -1061,14 +1106,16 @@ def _fingerprint_sql():
     parts = []
     for c in ["tx_id", "step", "type", "amount", "nameOrig", "oldbalanceOrg", "newbalanceOrig", "nameDest",
               "oldbalanceDest", "newbalanceDest", "isFraud"]:
+        text = f"CAST({c} AS VARCHAR)"
         if c in TX_DOUBLES:
-            parts.append(f"coalesce(CAST(CAST({c} AS DECIMAL(38,6)) AS VARCHAR), '\\N')")
-        else:
-            parts.append(f"coalesce(CAST({c} AS VARCHAR), '\\N')")
-    h = f"CAST(('0x' || substr(md5(concat_ws('|', {', '.join(parts)})), 1, 8))::BIGINT AS DECIMAL(38,0))"
+            dec = f"CAST({c} AS DECIMAL(38,6))"
+            text = f"CAST({dec} AS VARCHAR) || '~' || CAST(CAST(floor(({c} - CAST({dec} AS DOUBLE)) * CAST(1152921504606846976 AS DOUBLE)) AS BIGINT) AS VARCHAR)"
+        parts.append(f"coalesce(CAST(length({text}) AS VARCHAR) || ':' || {text}, '-')")
+    half = lambda at: f"sum(CAST(('0x' || substr(h, {at}, 15))::BIGINT AS DECIMAL(38,0)))"
     return (
-        f"WITH {tx_cte()}, hs AS (SELECT count(*) AS n_rows, CAST(sum({h}) AS DECIMAL(38,0)) AS hash_sum FROM tx)\n"
-        "SELECT n_rows, hash_sum, substr(md5(CAST(n_rows AS VARCHAR) || ':' || CAST(hash_sum AS VARCHAR)), 1, 8) AS fingerprint FROM hs"
+        f"WITH {tx_cte()}, rows_ AS (SELECT md5(concat_ws('|', {', '.join(parts)})) AS h FROM tx),\n"
+        f"hs AS (SELECT count(*) AS n_rows, CAST({half(1)} AS DECIMAL(38,0)) AS hash_sum, CAST({half(17)} AS DECIMAL(38,0)) AS hash_sum2 FROM rows_)\n"
+        "SELECT n_rows, hash_sum, hash_sum2, substr(md5(CAST(n_rows AS VARCHAR) || ':' || CAST(hash_sum AS VARCHAR) || ':' || CAST(hash_sum2 AS VARCHAR)), 1, 16) AS fingerprint FROM hs"
     )
 
 
