@@ -11,14 +11,14 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from txrisk.operators.quantiles import exact_quantiles
+from txrisk.plans.persist import materialize
 from txrisk.schema import CATEGORICAL_FEATURES, KEY, TARGET, numeric_columns
 
-MAX_CATEGORIES = 1000
 SCALERS = ("standard", "robust")
 
 CATEGORY_SCHEMA = "feature string, category string, position int"
@@ -45,15 +45,32 @@ class Preprocessor:
 
 
 def fit_categories(df: DataFrame, cols: list[str]) -> DataFrame:
-    """F2 fit: distinct non-null categories per column, sorted ascending."""
+    """F2 fit: distinct non-null categories per column, sorted ascending; any number of them."""
     spark = df.sparkSession
-    rows = []
-    for c in cols:
-        vals = df.select(F.col(c).cast("string").alias("v")).where(F.col("v").isNotNull()).distinct().limit(MAX_CATEGORIES + 1).collect()
-        if len(vals) > MAX_CATEGORIES:
-            raise ValueError(f"Column {c} has more than {MAX_CATEGORIES} categories")
-        rows += [(c, v, i) for i, v in enumerate(sorted(r["v"] for r in vals))]
-    return spark.createDataFrame(rows, CATEGORY_SCHEMA)
+    if not cols:
+        return spark.createDataFrame([], CATEGORY_SCHEMA)
+    long = df.select(*[F.col(c).cast("string").alias(c) for c in cols]).unpivot([], list(cols), "feature", "category")
+    found = long.where(F.col("category").isNotNull()).distinct()
+    position = F.row_number().over(Window.partitionBy("feature").orderBy("category")) - 1
+    return materialize(found.select("feature", "category", position.cast("int").alias("position")), "categories")
+
+
+def one_hot_sparse(pre: "Preprocessor", df: DataFrame) -> DataFrame:
+    """``df`` with the one-hot block in sparse form: ``hot_size`` and the sorted ``hot_indices`` that are 1.
+
+    The categories are joined, not spelled out, so their number may grow with the data. The first category of
+    each column has no index, unknown and NULL values have none either.
+    """
+    out, indices = df, []
+    widths = {r["feature"]: r["n"] for r in pre.categories.groupBy("feature").agg(F.count(F.lit(1)).alias("n")).collect()}  # one row per column
+    base = 0
+    for k, c in enumerate(pre.categorical):
+        own = pre.categories.where((F.col("feature") == c) & (F.col("position") > 0)).select(F.col("category").alias(f"_c{k}"), (F.col("position") - 1 + base).alias(f"_i{k}"))
+        out = out.join(own, F.col(c).cast("string") == F.col(f"_c{k}"), "left").drop(f"_c{k}")
+        indices.append(F.col(f"_i{k}"))
+        base += max(0, widths.get(c, 0) - 1)
+    hot = F.array_compact(F.array(*indices)) if indices else F.array().cast("array<int>")
+    return out.withColumn("hot_size", F.lit(base)).withColumn("hot_indices", hot).drop(*[f"_i{k}" for k in range(len(indices))])
 
 
 def fit_standard(df: DataFrame, cols: list[str]) -> DataFrame:

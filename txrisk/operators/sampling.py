@@ -22,6 +22,9 @@ from txrisk.schema import KEY, TARGET
 H = "_h"
 
 
+MAX_CLASSES = 1000  # a guard: more values are an error, nothing is dropped
+
+
 def approximate_mode(class_counts: dict, n_draws: int) -> dict:
     """Per-class draws proportional to counts: floor, then largest remainders."""
     total = sum(class_counts.values())
@@ -43,7 +46,12 @@ def split_quotas(class_counts: dict, test_size: float) -> tuple[dict, dict]:
 
 
 def _class_counts(df: DataFrame, label: str) -> dict:
-    return {r[label]: int(r["count"]) for r in df.groupBy(label).count().collect()}  # one row per class
+    rows = df.groupBy(label).count().limit(MAX_CLASSES + 1).collect()  # one row per class
+    if any(r[label] is None for r in rows):
+        raise ValueError(f"label column '{label}' has NULLs")
+    if len(rows) > MAX_CLASSES:
+        raise ValueError(f"label column '{label}' has more than {MAX_CLASSES} values: not a class label")
+    return {r[label]: int(r["count"]) for r in rows}
 
 
 def _with_hash(df: DataFrame, key: str, seed: int) -> DataFrame:

@@ -75,9 +75,14 @@ def rank_cutoffs(
         if small:
             rows = _rows_in_ranges(df, h, key, gcol, small)
             for i, (t, (lo, hi, below, _)) in enumerate(small.items()):
+                if any(k is None for _, k in rows.get(i, [])):
+                    raise ValueError("keys must not be NULL")
                 ordered = sorted(rows.get(i, []))
                 result[t] = ordered[t[1] - below]
                 del state[t]
+        for (g, _), (lo, hi, _, n) in wide.items():
+            if lo == hi:
+                raise ValueError(f"{n} rows of group {g!r} share one hash: keys must be unique and not NULL")
         if wide:
             subs = _sub_counts(df, h, gcol, wide)
             for i, (t, (lo, hi, below, _)) in enumerate(wide.items()):

@@ -8,7 +8,7 @@ between Spark and DuckDB.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -86,8 +86,8 @@ PANDAS_NA_STRINGS = [
 ]
 
 
-def normalise_ledger(df: DataFrame, schema: T.StructType = TRANSACTION_SCHEMA) -> DataFrame:
-    """Cast to ``schema`` (extra columns pass through) and turn NaN / NA strings into NULL."""
+def normalise_ledger(df: DataFrame, schema: T.StructType = TRANSACTION_SCHEMA, na_strings: bool = False) -> DataFrame:
+    """Cast to ``schema`` (extra columns pass through) and turn NaN, and with ``na_strings`` NA texts, into NULL."""
     cols = []
     wanted = {f.name: f.dataType for f in schema.fields}
     for name in df.columns:
@@ -98,7 +98,7 @@ def normalise_ledger(df: DataFrame, schema: T.StructType = TRANSACTION_SCHEMA) -
         actual = dtype or df.schema[name].dataType
         if isinstance(actual, (T.DoubleType, T.FloatType)):
             c = nan_to_null(c)
-        elif isinstance(actual, T.StringType):
+        elif na_strings and isinstance(actual, T.StringType):
             c = F.when(~c.isin(PANDAS_NA_STRINGS), c)
         cols.append(c.alias(name))
     return df.select(*cols)
@@ -109,11 +109,16 @@ def load_transactions(
     path: str,
     schema: T.StructType = TRANSACTION_SCHEMA,
     fmt: str | None = None,
+    derive_key: bool = True,
 ) -> DataFrame:
     """Read a ledger from parquet or CSV (A1).
 
     The format follows the suffix (case-insensitive) unless ``fmt`` is given,
     which also allows whole directories. Any other suffix is a ValueError.
+    CSV columns are found by the names in the header, in any order; columns
+    that the schema doesn't name stay as text. A ledger without the key column
+    gets one from its rows' content (:func:`with_content_key`) unless
+    ``derive_key`` is off.
     """
     if fmt is None:
         lower = str(path).lower().rstrip("/")
@@ -123,21 +128,38 @@ def load_transactions(
             fmt = "csv"
         else:
             suffix = lower[lower.rfind("."):] if "." in lower.rsplit("/", 1)[-1] else ""
-            raise ValueError(f"Unsupported file format: {suffix}")
+            raise ValueError(f"Ledgers are read from .parquet or .csv, not '{suffix}'")
     if fmt == "parquet":
         df = spark.read.parquet(path)
     elif fmt == "csv":
-        # Explicit schema: no inference pass; malformed numbers become NULL (PERMISSIVE).
+        # The header gives the order, the schema the types: no inference pass; malformed numbers
+        # become NULL (PERMISSIVE); files whose header differs from the first one's fail.
+        types = {f.name: f.dataType for f in schema.fields}
+        names = spark.read.option("header", True).csv(path).columns
         df = (
-            spark.read.schema(schema)
+            spark.read.schema(T.StructType([T.StructField(n, types.get(n, T.StringType())) for n in names]))
             .option("header", True)
+            .option("enforceSchema", False)
             .option("mode", "PERMISSIVE")
             .option("nanValue", "NaN")
             .csv(path)
         )
     else:
-        raise ValueError(f"Unsupported file format: {fmt}")
-    return normalise_ledger(df, schema)
+        raise ValueError(f"Ledgers are read as parquet or csv, not '{fmt}'")
+    df = normalise_ledger(df, schema, na_strings=fmt == "csv")
+    return with_content_key(df) if derive_key and KEY not in df.columns else df
+
+
+def with_content_key(df: DataFrame, key: str = KEY) -> DataFrame:
+    """``df`` with a text key from the md5 of each row's content and the number among its equals.
+
+    Equal rows are interchangeable, so the keys do not depend on partitioning or file order.
+    """
+    parts = [F.coalesce(F.concat(F.length(c.cast("string")).cast("string"), F.lit(":"), c.cast("string")), F.lit("-")) for c in map(F.col, sorted(df.columns))]
+    content = F.md5(F.concat_ws("|", *parts))
+    nth = F.row_number().over(Window.partitionBy("_content").orderBy("_content"))
+    keyed = df.withColumn("_content", content).withColumn("_nth", nth)
+    return keyed.withColumn(key, F.concat_ws("-", "_content", F.col("_nth").cast("string"))).drop("_content", "_nth")
 
 
 def extract_target(df: DataFrame, target_col: str = TARGET, key: str = KEY):
@@ -146,6 +168,6 @@ def extract_target(df: DataFrame, target_col: str = TARGET, key: str = KEY):
     A missing target is a ValueError, raised when the plan is built.
     """
     if target_col not in df.columns:
-        raise ValueError(f"Target column '{target_col}' not found in data")
+        raise ValueError(f"The ledger has no label column '{target_col}'")
     require_columns(df, [key], "key column")
     return df.drop(target_col), df.select(key, target_col)
