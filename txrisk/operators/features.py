@@ -186,10 +186,15 @@ def drop_unused(df: DataFrame, cols=NAME_COLS) -> DataFrame:
     return df.drop(*[c for c in cols if c in df.columns])
 
 
-def clean(spark: SparkSession, df: DataFrame, bounds: DataFrame | None = None) -> DataFrame:
-    """Types -> missing flags (on raw values) -> outlier handling."""
+def clean(spark: SparkSession, df: DataFrame, bounds: DataFrame | None = None, clip: bool = True) -> DataFrame:
+    """Types -> missing flags (on raw values) -> outlier handling.
+
+    Without ``clip`` the balances stay unclipped and no bounds are fitted: for results that don't read them.
+    """
     df = cast_types(df)
     df = missing_flags(df, BALANCE_COLS)
+    if not clip:
+        return _replace(df, {"amount": F.when(F.col("amount") < 0, F.lit(0.0)).otherwise(F.col("amount"))}) if "amount" in df.columns else df
     return handle_outliers(spark, df, BALANCE_COLS, bounds=bounds)
 
 

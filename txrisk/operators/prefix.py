@@ -32,7 +32,7 @@ def descending_running_sums(
     b = max(MIN_BUCKETS, min(MAX_BUCKETS, math.ceil(n_rows / ROWS_PER_BUCKET)))
     probs = [i / b for i in range(1, b)]
     edges = df.agg(F.percentile_approx(F.col(order_col).cast("double"), probs, max(10000, 4 * b)).alias("e")).first()["e"]
-    inner = sorted({float(e) for e in (edges or [])}) or [0.0]  # Bucketizer needs at least three splits
+    inner = sorted({float(e) for e in (edges or []) if e > -math.inf}) or [0.0]  # Bucketizer needs at least three splits
     splits = [-math.inf] + inner + [math.inf]
     bucketed = Bucketizer(splits=splits, inputCol=order_col, outputCol="_bucket").transform(
         df.withColumn(order_col, F.col(order_col).cast("double"))

@@ -16,14 +16,16 @@ def order_columns(df: DataFrame) -> DataFrame:
     return df.select(*head, *[c for c in df.columns if c not in (KEY, TARGET)], *tail)
 
 
-def build_features(spark: SparkSession, tx: DataFrame, bounds: DataFrame | None = None) -> DataFrame:
+def build_features(spark: SparkSession, tx: DataFrame, bounds: DataFrame | None = None, clip: bool = True) -> DataFrame:
     """A2 -> B10 -> B11 on a ledger DataFrame.
 
+    ``clip=False`` starts no job: for profiles that read no balance or column made from one.
+
     The label stays a column (rows are not aligned by position in Spark);
     ``extract_target`` only validates that it is there.
     """
     extract_target(tx)
-    return order_columns(engineer(clean(spark, tx, bounds=bounds)))
+    return order_columns(engineer(clean(spark, tx, bounds=bounds, clip=clip)))
 
 
 def feature_table(spark: SparkSession, path: str, fmt: str | None = None, bounds: DataFrame | None = None) -> DataFrame:
@@ -31,5 +33,5 @@ def feature_table(spark: SparkSession, path: str, fmt: str | None = None, bounds
     return build_features(spark, load_transactions(spark, path, fmt=fmt), bounds=bounds)
 
 
-def tpch_feature_table(spark: SparkSession, sf_dir: str, bounds: DataFrame | None = None) -> DataFrame:
-    return build_features(spark, tpch_transactions(spark, sf_dir), bounds=bounds)
+def tpch_feature_table(spark: SparkSession, sf_dir: str, bounds: DataFrame | None = None, clip: bool = True) -> DataFrame:
+    return build_features(spark, tpch_transactions(spark, sf_dir), bounds=bounds, clip=clip)

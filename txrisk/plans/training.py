@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from txrisk.operators import evaluation, imbalance, modeling, preprocess, sampling
 from txrisk.operators.correlation import drop_collinear
+from txrisk.operators.features import fit_outlier_bounds
 from txrisk.plans.feature_plan import build_features
 from txrisk.plans.persist import materialize
 from txrisk.schema import KEY, TARGET
@@ -43,6 +44,7 @@ class Prepared:
     train: DataFrame
     val: DataFrame
     test: DataFrame
+    raw: DataFrame  # features with their split, before preprocessing
 
 
 def prepare(spark: SparkSession, features: DataFrame, cfg: RunConfig) -> Prepared:
@@ -61,7 +63,7 @@ def prepare(spark: SparkSession, features: DataFrame, cfg: RunConfig) -> Prepare
     def part(name):
         return preprocess.transform(pre, split.filter(F.col("split") == name)).persist(StorageLevel.MEMORY_AND_DISK)
 
-    return Prepared(pre, cols, part("train"), part("val"), part("test"))
+    return Prepared(pre, cols, part("train"), part("val"), part("test"), split)
 
 
 def rebalance(prep: Prepared, cfg: RunConfig):
@@ -82,11 +84,21 @@ def fit(prep: Prepared, cfg: RunConfig, rows: DataFrame | None = None, weight_co
 
 
 def refit_on_train_val(prep: Prepared, cfg: RunConfig):
-    """Same settings, fitted again on train + val (G1)."""
-    both = prep.train.unionByName(prep.val)
-    merged = Prepared(prep.pre, prep.cols, both, prep.val, prep.test)
+    """Same settings, scaler, categories and model fitted again on train + val (G1).
+
+    Returns the model and the prepared splits that belong to it.
+    """
+    both_raw = prep.raw.filter(F.col("split").isin("train", "val")).drop("split")
+    pre = preprocess.fit_preprocessor(both_raw, scaler=cfg.scaler)
+
+    def part(rows):
+        return preprocess.transform(pre, rows)
+
+    both = part(both_raw).persist(StorageLevel.MEMORY_AND_DISK)
+    test = part(prep.raw.filter(F.col("split") == "test"))
+    merged = Prepared(pre, pre.output_columns(), both, part(prep.raw.filter(F.col("split") == "val")), test, prep.raw)
     rows, wcol = rebalance(merged, cfg)
-    return fit(merged, cfg, rows, wcol)
+    return fit(merged, cfg, rows, wcol), merged
 
 
 def run(spark: SparkSession, ledger: DataFrame, cfg: RunConfig | None = None, out_path: str | None = None):
@@ -94,16 +106,36 @@ def run(spark: SparkSession, ledger: DataFrame, cfg: RunConfig | None = None, ou
     from txrisk.sources import params as params_io
 
     cfg = cfg or RunConfig()
-    features = build_features(spark, ledger)
+    bounds = fit_outlier_bounds(spark, ledger)
+    features = build_features(spark, ledger, bounds=bounds)
     prep = prepare(spark, features, cfg)
     rows, wcol = rebalance(prep, cfg)
     model = fit(prep, cfg, rows, wcol)
     metrics = evaluation.evaluate(modeling.scored_table(model, prep.test), cfg.threshold)
-    final = refit_on_train_val(prep, cfg)
+    final, merged = refit_on_train_val(prep, cfg)
     if out_path:
         params_io.save_params(
-            out_path, {"categories": prep.pre.categories, "stats": prep.pre.stats},
-            config={"scaler": cfg.scaler, "algo": cfg.algo, "threshold": cfg.threshold, "columns": prep.cols},
+            out_path, {"bounds": bounds, "categories": merged.pre.categories, "stats": merged.pre.stats},
+            config={
+                "scaler": cfg.scaler, "algo": cfg.algo, "threshold": cfg.threshold, "columns": merged.cols,
+                "categorical": merged.pre.categorical, "numerical": merged.pre.numerical,
+            },
             model=final,
         )
-    return final, metrics, prep
+    return final, metrics, merged
+
+
+def load_run(spark: SparkSession, path: str):
+    """(model, preprocessor, bounds, config) of a saved run; one error names all missing parts."""
+    from txrisk.sources import params as params_io
+
+    tables, config, model = params_io.load_all(spark, path)
+    pre = preprocess.Preprocessor(config["categorical"], config["numerical"], config["scaler"], tables["categories"], tables["stats"])
+    return model, pre, tables["bounds"], config
+
+
+def score_ledger(spark: SparkSession, ledger: DataFrame, path: str) -> DataFrame:
+    """Scores of a raw ledger by a saved run: its bounds, categories, scaler, model and threshold."""
+    model, pre, bounds, config = load_run(spark, path)
+    features = build_features(spark, ledger, bounds=bounds)
+    return modeling.score_batch(model, preprocess.transform(pre, features), config["threshold"])

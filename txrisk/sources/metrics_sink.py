@@ -19,32 +19,35 @@ def write_metrics(metrics: DataFrame, path: str, run_id: str | None = None) -> N
     metrics_long(metrics, run_id).coalesce(1).write.mode("append").json(path)
 
 
-NULL_MARK = "\\N"
+NULL_MARK = "-"
 
 
 def _canonical(df: DataFrame, name: str):
     dt = df.schema[name].dataType
     c = F.col(name)
-    if isinstance(dt, (T.DoubleType, T.FloatType, T.DecimalType)):
-        text = c.cast("decimal(38,6)").cast("string")
-    else:
-        text = c.cast("string")
-    return F.coalesce(text, F.lit(NULL_MARK))
+    text = c.cast("string")
+    if isinstance(dt, (T.DoubleType, T.FloatType)):
+        # Six decimals, and what they leave in steps of 2^-60: no digit is dropped, in any engine's notation.
+        dec = c.cast("decimal(38,6)")
+        rest = F.floor((c.cast("double") - dec.cast("double")) * F.lit(float(2**60))).cast("long")
+        text = F.concat(dec.cast("string"), F.lit("~"), rest.cast("string"))
+    # With its length, so that no two rows share a text.
+    return F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit(NULL_MARK))
 
 
 def dataset_fingerprint(df: DataFrame) -> DataFrame:
-    """A5: order-insensitive content hash: (n_rows, hash_sum, fingerprint).
+    """A5: order-insensitive content hash: (n_rows, hash_sum, hash_sum2, fingerprint).
 
-    Each row's md5 over its canonical text (doubles as decimal(38,6), NULL as
-    a marker) contributes its first 8 hex digits to a sum, aggregated as a
-    partial/final sum: the same rows in any order or partitioning give the
-    same fingerprint.
+    Two 60-bit halves of each row's md5 over the lengths and texts of its values are summed, partially and then
+    finally: the same rows in any order or partitioning give the same fingerprint.
     """
     row_text = F.concat_ws("|", *[_canonical(df, c) for c in df.columns])
-    h = F.conv(F.substring(F.md5(row_text), 1, 8), 16, 10).cast("decimal(38,0)")
-    agg = df.select(h.alias("h")).agg(F.count(F.lit(1)).alias("n_rows"), F.coalesce(F.sum("h"), F.lit(0).cast("decimal(38,0)")).alias("hash_sum"))
-    return agg.select(
-        "n_rows",
-        F.col("hash_sum").cast("decimal(38,0)").alias("hash_sum"),
-        F.substring(F.md5(F.concat_ws(":", F.col("n_rows").cast("string"), F.col("hash_sum").cast("string"))), 1, 8).alias("fingerprint"),
-    )
+    rows = df.select(F.md5(row_text).alias("h"))
+
+    def half(at):
+        h = F.conv(F.substring("h", at, 15), 16, 10).cast("decimal(38,0)")
+        return F.coalesce(F.sum(h), F.lit(0).cast("decimal(38,0)")).cast("decimal(38,0)")
+
+    agg = rows.agg(F.count(F.lit(1)).alias("n_rows"), half(1).alias("hash_sum"), half(17).alias("hash_sum2"))
+    text = F.concat_ws(":", *[F.col(c).cast("string") for c in ("n_rows", "hash_sum", "hash_sum2")])
+    return agg.select("n_rows", "hash_sum", "hash_sum2", F.substring(F.md5(text), 1, 16).alias("fingerprint"))

@@ -46,10 +46,30 @@ def load_params(spark: SparkSession, path: str, tables=PARAM_TABLES, config: boo
     return found, cfg
 
 
+def load_all(spark: SparkSession, path: str):
+    """(tables, config, model); the error of a missing part names every missing one, the model too."""
+    missing = []
+    tables, config, model = {}, None, None
+    try:
+        tables, config = load_params(spark, path, config=True)
+    except FileNotFoundError as e:
+        missing.append(str(e))
+    try:
+        model = load_model(path)
+    except FileNotFoundError as e:
+        missing.append(str(e))
+    if missing:
+        raise FileNotFoundError("; ".join(missing))
+    return tables, config, model
+
+
 def load_model(path: str):
+    from py4j.protocol import Py4JJavaError
     from pyspark.ml import PipelineModel
 
     try:
         return PipelineModel.load(f"{path}/model")
-    except Exception as e:  # noqa: BLE001 - Py4J / analysis errors for a missing path
+    except (AnalysisException, Py4JJavaError) as e:
+        if "Path does not exist" not in str(e) and "Input path does not exist" not in str(e) and "PATH_NOT_FOUND" not in str(e):
+            raise
         raise FileNotFoundError(f"Missing artifacts in {path}: ['model']") from e
