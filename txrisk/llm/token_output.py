@@ -16,11 +16,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from .common import materialize, partition_id, read_table
-from .tokens import document_pieces
+from .tokens import id_and_text, piece_cutter
 
 MAX_LEN = 2048
 #: Ids of one shard, about.
-SHARD_IDS = 2_000_000
+SHARD_IDS = 500_000
 #: Fills the rows behind their last segment.
 PAD_ID = 0
 
@@ -113,7 +113,7 @@ def packed_shards(docs: DataFrame, max_len: int = MAX_LEN, tokenizer: str | None
     An empty table gives no shard. Repeated rows are written as often as they occur. Only doc_id and text are
     read. ``id_type`` must hold the tokenizer's ids.
     """
-    pieces = document_pieces(docs, max_len, tokenizer)
+    cut = piece_cutter(max_len, tokenizer)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number, held, n = partition_id() << 33, [], 0
@@ -125,7 +125,8 @@ def packed_shards(docs: DataFrame, max_len: int = MAX_LEN, tokenizer: str | None
             names = [c.split()[0] for c in SHARDS.split(", ")]
             return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, types)], names=names)
 
-        for batch in batches:
+        # Cut and packed by one worker, one batch of pieces at a time.
+        for batch in cut(batches):
             for piece in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "start", "length", "doc_tokens", "ids"))):
                 held.append(piece)
                 n += piece[2]
@@ -135,7 +136,7 @@ def packed_shards(docs: DataFrame, max_len: int = MAX_LEN, tokenizer: str | None
         if held:
             yield out()
 
-    return pieces.mapInArrow(run, SHARDS)
+    return id_and_text(docs).mapInArrow(run, SHARDS)
 
 
 def read_shard(row) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -154,7 +155,8 @@ def segments(shards: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for k in range(batch.num_rows):
+                row = batch.slice(k, 1).to_pylist()[0]
                 ids = read_shard(row)[0].astype("<u4")
                 crc = [zlib.crc32(ids[r, o:o + n].tobytes()) for r, o, n in zip(row["rows"], row["offsets"], row["lengths"])]
                 columns = {

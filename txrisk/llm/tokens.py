@@ -107,14 +107,13 @@ def encoder(path: str, fast: str | None = None) -> Encoder:
 
 
 #: Characters of text that a worker holds split into words at a time.
-GROUP_CHARS = 4_000_000
+GROUP_CHARS = 2_000_000
 
+PIECES = "doc_id long, start long, length long, doc_tokens long, ids binary"
 
-def document_pieces(docs: DataFrame, max_len: int, tokenizer: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, start, length, doc_tokens, ids: every document's ids, then END_ID, cut every ``max_len``.
 
-    ``ids`` holds little-endian unsigned 32-bit ids. A null or empty text is one piece with END_ID alone.
-    """
+def piece_cutter(max_len: int, tokenizer: str | None = None):
+    """A function from batches of (doc_id, text) to batches of PIECES."""
     path = tokenizer or tokenizer_path(TOKENIZER)
     fast = None if tokenizer else tokenizer_path(RANKS)
     end = np.array([END_ID], "<u4").tobytes()
@@ -145,5 +144,16 @@ def document_pieces(docs: DataFrame, max_len: int, tokenizer: str | None = None,
             if ids:
                 yield pieces(ids, texts)
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(cut, "doc_id long, start long, length long, doc_tokens long, ids binary")
+    return cut
+
+
+def id_and_text(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+
+
+def document_pieces(docs: DataFrame, max_len: int, tokenizer: str | None = None) -> DataFrame:
+    """doc_id, start, length, doc_tokens, ids: every document's ids, then END_ID, cut every ``max_len``.
+
+    ``ids`` holds little-endian unsigned 32-bit ids. A null or empty text is one piece with END_ID alone.
+    """
+    return id_and_text(docs).mapInArrow(piece_cutter(max_len, tokenizer), PIECES)
