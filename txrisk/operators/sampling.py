@@ -101,6 +101,17 @@ def stratified_split(
     return _assign(hashed, label, key, cuts, ["test", "val", "train"], col).drop(H)
 
 
+def holdout(
+    train: DataFrame, size: float = 0.15, seed: int = 42, label: str = TARGET, key: str = KEY, col: str = "part",
+) -> DataFrame:
+    """E5: column ``part`` in {fit, holdout}: an exact stratified share of the training rows for tuning.
+
+    The rows are ordered by another hash than the split, so the holdout is no prefix of it.
+    """
+    parts = stratified_split(train, size, 0.0, seed + 1, label, key, col)
+    return parts.withColumn(col, F.when(F.col(col) == "test", "holdout").otherwise("fit"))
+
+
 def split_report(split_df: DataFrame, label: str = TARGET, col: str = "split") -> DataFrame:
     """E1 report: rows, positives, positive rate and share of all rows per split."""
     g = split_df.groupBy(col).agg(

@@ -502,6 +502,21 @@ def q_union_splits(spark, sf_dir):
     return sampling.union_splits(_split(spark, sf_dir)).select("tx_id", "split")
 
 
+HOLDOUT_SIZE = 0.15
+
+
+@register(
+    "holdout",
+    f"""WITH {tx_cte()}{split_ctes()}, hashed2 AS (SELECT tx_id, isFraud, {hash_sql(seed=SEED + 1)} AS h FROM splitted WHERE split = 'train'),
+cnt2 AS (SELECT isFraud, count(*) AS n_c FROM hashed2 GROUP BY isFraud),
+{approx_mode_sql('cnt2', 'n_c', f'tot - ceil(CAST({HOLDOUT_SIZE} AS DOUBLE) * tot)', 'q2')},
+ranked2 AS (SELECT tx_id, isFraud, row_number() OVER (PARTITION BY isFraud ORDER BY h, tx_id) AS rk FROM hashed2)
+SELECT tx_id, isFraud, CASE WHEN rk <= n_c - q THEN 'holdout' ELSE 'fit' END AS part FROM ranked2 JOIN q2 USING (isFraud)""",
+)
+def q_holdout(spark, sf_dir):
+    return sampling.holdout(_split(spark, sf_dir).filter(F.col("split") == "train").drop("split"), HOLDOUT_SIZE, SEED)
+
+
 @register(
     "stratified_subsample",
     f"""WITH {tx_cte()}, hashed AS (SELECT tx_id, isFraud, {hash_sql()} AS h FROM tx),
@@ -1025,10 +1040,18 @@ def q_fit_with_validation(spark, sf_dir):
     return spark.createDataFrame(history, "epochs int, val_average_precision double")
 
 
+#: Trials of the registered query; the operator's caller sets the budget (the usual one is 20 + 30 of 15 epochs).
+TUNE_COARSE, TUNE_FINE = 2, 2
+
+
 @register("tune")
 def q_tune(spark, sf_dir):
-    prep, cfg = _prepared(spark, sf_dir, training.RunConfig(use_smote=False))
-    _, trials = modeling.tune(prep.train, prep.cols, n_coarse=2, n_fine=2, epochs=5, seed=SEED, val=prep.val)
+    # The holdout comes from the training rows; scaler and categories are fitted without it.
+    train = sampling.holdout(_split_features(spark, sf_dir).filter(F.col("split") == "train").drop("split"), HOLDOUT_SIZE, SEED)
+    fit_rows, held = (train.filter(F.col("part") == p).drop("part") for p in ("fit", "holdout"))
+    pre = preprocess.fit_preprocessor(fit_rows)
+    fit_rows, held = (preprocess.transform(pre, rows).persist() for rows in (fit_rows, held))
+    _, trials = modeling.tune(fit_rows, pre.output_columns(), n_coarse=TUNE_COARSE, n_fine=TUNE_FINE, epochs=5, seed=SEED, val=held)
     return modeling.trials_frame(spark, trials)
 
 
