@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, read_table, text_bytes
+from .common import materialize, packed, read_table, text_bytes, unpacked
 
 MIN_LEN = 400
 #: Bytes of an anchor gram.
@@ -234,38 +234,17 @@ def stretch_table(rows: DataFrame, min_len: int, gram: int) -> DataFrame:
     return rows.select("key", "text").mapInArrow(joined, "key long, start long, windows int, lead int, gram long, content long")
 
 
-def _packed(rows: DataFrame, max_level: int = 1) -> DataFrame:
-    """Texts compressed before they are shuffled."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import zstandard
-
-        pack = zstandard.ZstdCompressor(level=max_level).compress
-        for batch in batches:
-            at = batch.schema.get_field_index("text")
-            packed = pa.array([pack(t.as_py()) for t in batch.column(at)], pa.binary())
-            yield batch.set_column(at, "text", packed)
-
-    return rows.mapInArrow(run, rows.schema)
-
-
-def _unpack(data: bytes) -> bytes:
-    import zstandard
-
-    return zstandard.ZstdDecompressor().decompress(data)
-
-
 def stretch_bytes(rows: DataFrame, wanted: DataFrame, min_len: int) -> DataFrame:
     """``wanted`` (key, start, windows, lead, gram, content, n) with the stretches' bytes."""
     lists = wanted.groupBy("key").agg(F.collect_list(F.struct("start", "windows", "lead", "gram", "content", "n")).alias("list"))
     # Repeated rows have the same text: one of them is enough.
-    one = _packed(rows.select("key", "text")).join(lists, "key").dropDuplicates(["key"])
+    one = packed(rows.select("key", "text")).join(lists, "key").dropDuplicates(["key"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
             for key, text, wanted in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist()):
-                text = _unpack(text.as_py())
+                text = unpacked(text.as_py())
                 out += [(key, w["start"], w["lead"], w["content"], w["n"], text[w["start"]:w["start"] + w["windows"] + min_len - 1]) for w in wanted]
             types = {"key": pa.int64(), "start": pa.int64(), "lead": pa.int32(), "content": pa.int64(), "n": pa.int64(), "bytes": pa.binary()}
             yield _batch({c: pa.array([r[k] for r in out], t) for k, (c, t) in enumerate(types.items())})
@@ -314,13 +293,14 @@ def sorted_runs(stretches_: DataFrame, cuts: list[bytes]) -> DataFrame:
     return stretches_.mapInArrow(run, _BLOCKS)
 
 
-def merged_ranges(runs: DataFrame, ranges: int, min_len: int, gram: int) -> DataFrame:
-    """key, first, last, hash: marked windows as [first, last], or, for groups at a border, each window's hash.
+def merged_ranges(runs: DataFrame, cuts: list[bytes], min_len: int, gram: int) -> DataFrame:
+    """key, first, last, hash: marked windows as [first, last], or, for groups that a border cuts, each window's hash.
 
-    A range is merged whole. Groups of one gram within it are decided there; its first and last group may go
-    on in the neighbouring range, so their windows are counted by hash in one more exchange.
+    A range is merged whole, and groups of one gram are decided there. Only a border that is longer than a gram
+    cuts a group, one that is too large for a range; its windows are counted by hash in one more exchange.
     """
-    rows = runs.repartition(ranges, "range").sortWithinPartitions("range", "run", "seq")
+    cut_grams = {c[:gram] for c in cuts if len(c) > gram}
+    rows = runs.repartition(len(cuts) + 1, "range").sortWithinPartitions("range", "run", "seq")
 
     def unpack(blocks) -> Iterator[tuple[int, bytes, object]]:
         for b in blocks:
@@ -328,22 +308,23 @@ def merged_ranges(runs: DataFrame, ranges: int, min_len: int, gram: int) -> Data
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         blocks = (row for batch in batches for row in batch.to_pylist())
-        for place, of_range in groupby(blocks, key=lambda b: b["range"]):
+        for _, of_range in groupby(blocks, key=lambda b: b["range"]):
             runs = [unpack(list(g)) for _, g in groupby(of_range, key=lambda b: b["run"])]
-            group, nth = [], 0
+            group, of_gram = [], b""
             for shared, suffix, (head, key, start, n) in LoserTree(runs):
                 if group and shared < gram:
-                    yield from decide(group, nth == 0 and place > 0)
-                    group, nth = [], nth + 1
+                    yield from decide(group, of_gram in cut_grams)
+                    group = []
                 group.append((head + suffix, key, start, n))
+                of_gram = suffix[:gram]
             if group:
-                yield from decide(group, nth == 0 and place > 0 or place < ranges - 1)
+                yield from decide(group, of_gram in cut_grams)
 
-    def decide(group, at_border) -> Iterator[pa.RecordBatch]:
-        if len(group) < 2 and not at_border:
+    def decide(group, is_cut) -> Iterator[pa.RecordBatch]:
+        if len(group) < 2 and not is_cut:
             return
         hashes, begin = window_hashes([g[0] for g in group], min_len)
-        if at_border:
+        if is_cut:
             for k, (_, key, start, n) in enumerate(group):
                 h = hashes[begin[k]:begin[k + 1]].astype(np.int64)
                 at = start + np.arange(len(h))
@@ -379,8 +360,8 @@ def repeated_spans(rows: DataFrame, min_len: int = MIN_LEN, gram: int = GRAM, ra
     suffix = F.expr("substring(bytes, lead + 1)")
     sample = parts.where(F.pmod(F.xxhash64("content"), F.lit(max(1, total // (50 * ranges)))) == 0).select(suffix.alias("s")).collect() if ranges > 1 else []
     cuts = splitters([bytes(r["s"]) for r in sample], ranges, gram)
-    found = materialize(merged_ranges(sorted_runs(parts, cuts), len(cuts) + 1, min_len, gram), "op7-windows")
-    # The windows of groups at a border, by their hash.
+    found = materialize(merged_ranges(sorted_runs(parts, cuts), cuts, min_len, gram), "op7-windows")
+    # The windows of groups that a border cuts, by their hash.
     border = found.where("hash is not null")
     twice = border.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select("hash")
     windows = found.where("hash is null").select("key", "first", "last").unionByName(border.join(twice, "hash").select("key", "first", "last"))
@@ -396,13 +377,13 @@ def remove_repeats(docs: DataFrame, min_len: int = MIN_LEN, gram: int = GRAM, ra
     rows = _rows(docs)
     spans = repeated_spans(rows, min_len, gram, range_rows)
     lists = spans.groupBy("key").agg(F.collect_list(F.struct("begin", "end")).alias("spans"))
-    joined = _packed(rows).join(lists, "key", "left").select("doc_id", "text", "spans")
+    joined = packed(rows).join(lists, "key", "left").select("doc_id", "text", "spans")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
             for doc, text, spans in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist()):
-                text = _unpack(text.as_py())
+                text = unpacked(text.as_py())
                 kept, at, removed, n = [], 0, 0, 0
                 end = -1
                 for s in sorted((s["begin"], s["end"]) for s in spans or ()):
