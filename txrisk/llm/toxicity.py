@@ -9,6 +9,7 @@ returns them as spans.
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -126,8 +127,9 @@ def fit_sentences(texts: list[str], labels: list[int], steps: int = STEPS, min_d
         rate = (y.sum() + 0.5) / (len(y) + 1.0)
         return Model({}, float(np.log(rate / (1 - rate))) - 3.0)
     vocab: dict[str, int] = {}
-    token, token_sentence, sentence_doc = [], [], []
+    doc_tokens, doc_sentences, sentence_doc = [], [], []
     for d, text in enumerate(texts):
+        token, sentence = [], []
         for line in text.split("\n"):
             words: set[str] = set()
             for w in [*line.split(), None]:
@@ -135,27 +137,35 @@ def fit_sentences(texts: list[str], labels: list[int], steps: int = STEPS, min_d
                     words.add(w)
                 if words and (w is None or w[-1] in _ENDS):
                     token += [vocab.setdefault(x, len(vocab)) for x in sorted(words)]
-                    token_sentence += [len(sentence_doc)] * len(words)
+                    sentence += [len(sentence_doc)] * len(words)
                     sentence_doc.append(d)
                     words = set()
-    token, token_sentence, sentence_doc = np.array(token, "i8"), np.array(token_sentence, "i8"), np.array(sentence_doc, "i8")
+        doc_tokens.append(np.array(token, "i4"))
+        doc_sentences.append(np.array(sentence, "i4"))
+    token, token_sentence, sentence_doc = np.concatenate(doc_tokens), np.concatenate(doc_sentences), np.array(sentence_doc, "i4")
+    del doc_sentences
+    n_words = len(vocab)
     feature_id: dict[str, int] = {}
-    f_word, f_id = [], []
+    f_word, f_id = array("i"), array("i")
     for w, k in vocab.items():
         for f in features(w):
             f_word.append(k)
             f_id.append(feature_id.setdefault(f, len(feature_id)))
-    f_word, f_id = np.array(f_word, "i8"), np.array(f_id, "i8")
-    # Documents of each class in which a feature occurs.
-    doc_word = np.unique(sentence_doc[token_sentence] * len(vocab) + token)
-    order = np.argsort(f_word, kind="stable")
-    first = np.searchsorted(f_word[order], np.arange(len(vocab) + 1))
-    n_of = np.diff(first)[doc_word % len(vocab)]
-    rep = np.repeat(np.arange(len(doc_word)), n_of)
-    at = first[doc_word[rep] % len(vocab)] + np.arange(len(rep)) - np.repeat(np.cumsum(n_of) - n_of, n_of)
-    doc_feature = np.unique(doc_word[rep] // len(vocab) * len(feature_id) + f_id[order][at])
-    in_pos = np.bincount(doc_feature % len(feature_id), weights=y[doc_feature // len(feature_id)], minlength=len(feature_id))
-    in_all = np.bincount(doc_feature % len(feature_id), minlength=len(feature_id))
+    f_word, f_id = np.array(f_word, "i4"), np.array(f_id, "i4")
+    names = list(feature_id)
+    del vocab, feature_id
+    # Documents of each class in which a feature occurs, one document at a time. A word's features are
+    # neighbours in f_id, from first[word] on.
+    first = np.searchsorted(f_word, np.arange(n_words + 1))
+    in_pos, in_all = np.zeros(len(names)), np.zeros(len(names))
+    for d, words in enumerate(doc_tokens):
+        words = np.unique(words)
+        n_of = first[words + 1] - first[words]
+        at = np.repeat(first[words] - (np.cumsum(n_of) - n_of), n_of) + np.arange(n_of.sum())
+        seen = np.unique(f_id[at])
+        in_all[seen] += 1
+        in_pos[seen] += y[d]
+    del doc_tokens
     odds = np.log((in_pos + 0.1) / (y.sum() + 0.2)) - np.log((in_all - in_pos + 0.1) / ((1 - y).sum() + 0.2))
     # Start from shrunken log odds; only features seen often enough, and more often with the label, get a weight.
     live = (in_all >= min_docs) & (odds > 1.0)
@@ -163,11 +173,11 @@ def fit_sentences(texts: list[str], labels: list[int], steps: int = STEPS, min_d
     bias = -5.0
     m, v, mb, vb = np.zeros_like(w), np.zeros_like(w), 0.0, 0.0
     for t in range(1, steps + 1):
-        z = bias + np.bincount(token_sentence, weights=np.bincount(f_word, weights=w[f_id], minlength=len(vocab))[token], minlength=len(sentence_doc))
+        z = bias + np.bincount(token_sentence, weights=np.bincount(f_word, weights=w[f_id], minlength=n_words)[token], minlength=len(sentence_doc))
         p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
         doc = -np.expm1(-np.bincount(sentence_doc, weights=np.logaddexp(0, z), minlength=len(y)))
         gz = p * (1 - (y / np.maximum(doc, 1e-9))[sentence_doc])
-        g = np.bincount(f_id, weights=np.bincount(token, weights=gz[token_sentence], minlength=len(vocab))[f_word], minlength=len(w)) + 0.02 * w
+        g = np.bincount(f_id, weights=np.bincount(token, weights=gz[token_sentence], minlength=n_words)[f_word], minlength=len(w)) + 0.02 * w
         g, gb = np.where(live, g, 0.0), gz.sum()
         m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
         mb, vb = 0.9 * mb + 0.1 * gb, 0.99 * vb + 0.01 * gb * gb
@@ -175,7 +185,6 @@ def fit_sentences(texts: list[str], labels: list[int], steps: int = STEPS, min_d
         w -= step * m / (np.sqrt(v / (1 - 0.99**t)) + 1e-6)
         bias -= step * mb / (np.sqrt(vb / (1 - 0.99**t)) + 1e-6)
         w = np.maximum(w, 0.0)
-    names = list(feature_id)
     return Model({names[i]: float(w[i]) for i in np.flatnonzero(w > 0.01)}, float(bias))
 
 
@@ -197,6 +206,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Model:
     bags = docs.select(F.col("doc_id").alias("__doc"), text.alias("__text")).where(F.char_length("__text") <= FIT_CHARS)
     sample = bags.join(known, F.col("__doc") == F.col("__id")).select("__doc", "__text", "__toxic").limit(rows + rows // 4).toArrow()
     bags = sorted(zip(*(sample.column(c).to_pylist() for c in ("__doc", "__text", "__toxic"))))
+    del sample
     return fit_sentences([t for _, t, _ in bags], [int(y > 0) for _, _, y in bags])
 
 
