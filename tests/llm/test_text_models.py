@@ -142,6 +142,34 @@ def test_decontamination_finds_copies_and_leaves_clean_texts(spark, edge_docs):
     assert decontaminate.contaminated(docs.limit(0), bench).count() == 0
 
 
+def test_hot_partial_copies_are_found_beside_a_whole_copy(spark):
+    r = random.Random(4)
+    item = [f"w{k}" for k in range(40)]
+    noise = lambda n: [f"n{r.randrange(300)}" for _ in range(n)]
+    texts = [noise(30) + item[:20] + noise(30) for _ in range(60)] + [noise(20) + item + noise(5)]
+    # Every third word differs, and every word has another one after it: no three words in a row are left.
+    texts += [noise(9) + [w if k % 3 else "other" for k, w in enumerate(item)] + noise(9), noise(9) + [x for w in item for x in (w, "so")]]
+    clean = [noise(30) + item[:17] + noise(30), r.sample(item, 16) + noise(40)]
+    docs = spark.createDataFrame([(k, " ".join(t)) for k, t in enumerate(texts + clean)], "doc_id long, text string").repartition(3)
+    bench = spark.createDataFrame([(0, " ".join(item)), (1, "w3 gone"), (2, "w3 w5 gone w7")], "item_id long, text string")
+    got = decontaminate.contaminated(docs, bench).collect()
+    assert {(x["doc_id"], x["item_id"]) for x in got} == {(k, 0) for k in range(len(texts))}
+    assert {x["doc_id"] for x in decontaminate.keep_uncontaminated(docs, bench).collect()} == {len(texts), len(texts) + 1}
+
+
+def test_places_lose_no_alignment():
+    r = random.Random(5)
+    for _ in range(400):
+        words = [r.choice("abcdefghijkl") for _ in range(r.randint(1, 14))]
+        text = [r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(r.randint(0, 90))]
+        copy = [x for w in words for x in ([w], [], ["z"], [w, "y"], [w])[r.randrange(5)]]
+        text[len(text) // 2:len(text) // 2] = copy
+        index = decontaminate.Index([(7, " ".join(words))])
+        best, least = smith_waterman(words, text), index.least(decontaminate.MIN_SCORE)[0]
+        got = decontaminate.matches(index, " ".join(text))
+        assert [(g[0], g[1] * 2 * len(words)) for g in got] == ([(7, pytest.approx(best))] if best >= least else [])
+
+
 def test_items_in_several_blocks(spark, monkeypatch):
     monkeypatch.setattr(decontaminate, "BLOCK_WORDS", 30)
     bench = spark.createDataFrame([(k, " ".join(f"i{k}x{j}" for j in range(15))) for k in range(8)], "item_id long, text string")

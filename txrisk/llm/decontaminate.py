@@ -1,9 +1,10 @@
-"""Benchmark decontamination by rare n-gram seeds and Smith-Waterman alignment (operator 5).
+"""Benchmark decontamination by word seeds and Smith-Waterman alignment (operator 5).
 
-Three-word grams of the test items are looked up in every training text. The grams that are rare in the
-corpus are seeds; a seed that occurs in a text places the item there, and a local alignment of the item with
-the words around scores copies that were cut, edited or reworded. The test items go to the tasks in blocks of
-bounded size, so each block scans the corpus once, whatever the number of items.
+The words of the test items are looked up in every training text. A text can only reach an item's score where
+enough of the item's words stand close enough together; every such place is found (the bounds below lose none)
+and a local alignment of the item with the words there scores copies that were cut, edited or reworded, however
+often the same words occur elsewhere in the corpus. The test items go to the tasks in blocks of bounded size, so
+each block scans the corpus once, whatever the number of items.
 """
 
 from __future__ import annotations
@@ -19,6 +20,8 @@ from pyspark.sql import functions as F
 
 from .common import read_table
 
+#: An alignment must be worth so many fitting words in a row (the whole item, if it is shorter): one or two
+#: common words are no copy of a short item. Items of seven words and more need more than this anyway.
 GRAM = 3
 #: Alignment: a word that fits, one that differs, one that is missing or added.
 MATCH, MISMATCH, GAP = 2.0, -1.0, -1.0
@@ -42,7 +45,7 @@ def tokens(text: str) -> list[str]:
 
 
 class Index:
-    """Test items of one block: word numbers (0: in no item), sorted gram keys and where the items have them."""
+    """Test items of one block: word numbers (0: in no item), and for every word the items that have it, how often."""
 
     def __init__(self, items: list[tuple[int, str]]):
         self.item_ids, self.words, vocab = [], [], {}
@@ -53,11 +56,13 @@ class Index:
                 self.words.append(np.array([vocab.setdefault(x, len(vocab) + 1) for x in w], np.int64))
         self.vocab = vocab
         self.base = len(vocab) + 1
-        places = [(int(k), i, p) for i, w in enumerate(self.words) for p, k in enumerate(self.grams(w))]
-        places.sort()
-        self.keys = np.unique(np.array([k for k, _, _ in places], np.int64))
-        self.first = np.searchsorted(np.array([k for k, _, _ in places], np.int64), self.keys).tolist() + [len(places)]
-        self.places = [(i, p) for _, i, p in places]
+        lengths = np.array([len(w) for w in self.words], np.int64)
+        pairs = np.concatenate([np.zeros(0, np.int64), *self.words]) * max(len(self.words), 1) + np.repeat(np.arange(len(lengths)), lengths)
+        pairs, self.times = np.unique(pairs, return_counts=True)
+        self.items = pairs % max(len(self.words), 1)
+        self.first = np.searchsorted(pairs // max(len(self.words), 1), np.arange(self.base + 1))
+        self.lengths = lengths
+        self.bags = [np.unique(w, return_counts=True) for w in self.words]
         self.known: dict[str, int] = {}
 
     def __getstate__(self):
@@ -82,15 +87,15 @@ class Index:
             known[w] = self.vocab.get(plain(w), 0)
         return np.fromiter(map(known.__getitem__, words), np.int64, len(words))
 
-    def hits(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Places of the text with a gram of any item, and the grams' indices."""
-        if not len(numbers) or not len(self.keys):
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        key = self.grams(numbers)
-        at = np.flatnonzero(key >= 0)
-        g = np.minimum(np.searchsorted(self.keys, key[at]), len(self.keys) - 1)
-        same = self.keys[g] == key[at]
-        return at[same], g[same]
+    def covered(self, words: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """How many words of each item can fit, at most, where these distinct words occur so often."""
+        n = self.first[words + 1] - self.first[words]
+        at = np.repeat(self.first[words] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        return np.bincount(self.items[at], weights=np.minimum(self.times[at], np.repeat(counts, n)), minlength=len(self.words))
+
+    def least(self, min_score: float) -> np.ndarray:
+        """The score each item needs."""
+        return np.maximum(min_score * MATCH * self.lengths, MATCH * np.minimum(GRAM, self.lengths))
 
 
 def align(item: np.ndarray, text: np.ndarray) -> tuple[float, int, int]:
@@ -125,35 +130,60 @@ def align(item: np.ndarray, text: np.ndarray) -> tuple[float, int, int]:
     return best, best_start, best_end
 
 
-def matches(index: Index, rare: np.ndarray, text: str, min_score: float = MIN_SCORE) -> list[tuple[int, float, int, int, int]]:
+def places(hits: np.ndarray, length: int, least: float) -> Iterator[tuple[int, int]]:
+    """Where in a text an alignment can reach the score; ``hits`` are the places of the item's words.
+
+    An alignment gains MATCH at most for a word of the item and loses -MISMATCH or -GAP (equal) for any other, so only runs of
+    hits that one such sum can span matter. It never spans more than length + (MATCH * length - least) words,
+    so long runs are cut into pieces that overlap by as much.
+    """
+    worth = np.arange(len(hits)) * int(MATCH - MISMATCH) - hits
+    low = np.minimum.accumulate(worth)
+    if (worth - low).max(initial=0) + MATCH < least:
+        return
+    reach = np.maximum.accumulate(worth[::-1])[::-1] - low + MATCH >= least
+    edge = np.flatnonzero(np.diff(np.concatenate([[False], reach, [False]])))
+    span = int(length + MATCH * length - least) + 1
+    for i, j in zip(edge[::2].tolist(), edge[1::2].tolist()):
+        lo, end = int(hits[i]), int(hits[j - 1]) + 1
+        while True:
+            hi = min(end, lo + 4 * span)
+            yield lo, hi
+            if hi == end:
+                break
+            lo = hi - span
+
+
+def matches(index: Index, text: str, min_score: float = MIN_SCORE) -> list[tuple[int, float, int, int, int]]:
     """(item_id, score, seeds, start, end) of the items that align with the text, best place of each."""
     numbers = index.numbers(text)
-    at, gram = index.hits(numbers)
-    keep = rare[gram] if len(gram) else np.zeros(0, bool)
-    spans: dict[int, list[list[int]]] = {}
-    for p, g in zip(at[keep].tolist(), gram[keep].tolist()):
-        for i, q in index.places[index.first[g]:index.first[g + 1]]:
-            n = len(index.words[i])
-            lo, hi = max(0, p - q - n // 2 - 4), min(len(numbers), p - q + n + n // 2 + 4)
-            held = spans.setdefault(i, [])
-            if held and held[-1][1] >= lo:
-                held[-1][0], held[-1][1], held[-1][2] = min(held[-1][0], lo), max(held[-1][1], hi), held[-1][2] + 1
-            else:
-                held.append([lo, hi, 1])
+    at = np.flatnonzero(numbers)
+    if not len(at):
+        return []
+    held = numbers[at]
+    least = index.least(min_score)
+    can = MATCH * index.covered(*np.unique(held, return_counts=True)) >= least
     found: dict[int, tuple] = {}
-    for i, places in spans.items():
+    own = np.zeros(index.base, np.int64)
+    for i in np.flatnonzero(can).tolist():
         item = index.words[i]
         top = MATCH * len(item)
-        own = np.unique(item)
-        for lo, hi, seeds in places:
+        words, times = index.bags[i]
+        own[words] = times
+        for lo, hi in places(at[own[held] > 0], len(item), least[i]):
             part = numbers[lo:hi]
-            # No alignment scores more than its fitting words.
-            if MATCH * np.isin(part, own).sum() < min_score * top:
+            # No alignment scores more than the words of the item that the place holds.
+            have, n = np.unique(part[own[part] > 0], return_counts=True)
+            if MATCH * np.minimum(n, own[have]).sum() < least[i]:
                 continue
             score, start, end = align(item, part)
+            if score < least[i]:
+                continue
+            seeds = int(np.isin(index.grams(part[start:end]), index.grams(item)).sum()) if end - start >= min(GRAM, len(item)) else 0
             row = (index.item_ids[i], score / top, seeds, lo + start, lo + end)
-            if score >= min_score * top and (row[0] not in found or row[1] > found[row[0]][1]):
+            if row[0] not in found or row[1] > found[row[0]][1]:
                 found[row[0]] = row
+        own[words] = 0
     return list(found.values())
 
 
@@ -161,36 +191,8 @@ def _texts(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
 
 
-def document_frequency(texts: DataFrame, index: Index) -> np.ndarray:
-    """In how many texts each gram of the index occurs."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n = np.zeros(len(index.keys), np.int64)
-        for batch in batches:
-            for text in batch.column(1):
-                n[np.unique(index.hits(index.numbers(text.as_py()))[1])] += 1
-        at = np.flatnonzero(n)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(n[at])], names=["gram", "n"])
-
-    out = np.zeros(len(index.keys), np.int64)
-    for r in texts.mapInArrow(count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).collect():
-        out[r["gram"]] = r["n"]
-    return out
-
-
-def rare_grams(index: Index, frequency: np.ndarray) -> np.ndarray:
-    """The rarer half of each item's grams that occur at all: also an item that was copied often keeps its seeds."""
-    rare = np.zeros(len(index.keys), bool)
-    for w in index.words:
-        g = np.searchsorted(index.keys, index.grams(w))
-        g = g[frequency[g] > 0]
-        if len(g):
-            rare[g[frequency[g] <= np.median(frequency[g])]] = True
-    return rare
-
-
 def _blocks(texts: DataFrame, benchmark: DataFrame) -> Iterator:
-    """Broadcasts of (index, rare grams), one per block of test items."""
+    """Broadcasts of the indexes, one per block of test items."""
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where("text is not null").distinct()
     words = items.agg(F.sum(F.size(F.split("text", r"\s+")))).first()[0] or 0
     n_blocks = 1 + words // BLOCK_WORDS
@@ -198,14 +200,15 @@ def _blocks(texts: DataFrame, benchmark: DataFrame) -> Iterator:
         block = items.where(F.pmod(F.xxhash64("item_id"), F.lit(n_blocks)) == k).collect()
         index = Index(sorted(((r["item_id"], r["text"]) for r in block), key=lambda r: (r[0] is None, r[0] or 0, r[1])))
         if index.words:
-            yield texts.sparkSession.sparkContext.broadcast((index, rare_grams(index, document_frequency(texts, index))))
+            yield texts.sparkSession.sparkContext.broadcast(index)
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
     """doc_id, item_id, score, seeds, start_word, end_word: the best place of each item in each text that holds it.
 
-    ``score`` is the alignment's share of the item's best score, 1 for a whole copy; words are counted from 0,
-    the end excluded. Texts that hold no item give no row. Null and empty texts and items match nothing; items
+    ``score`` is the alignment's share of the item's best score, 1 for a whole copy; ``seeds`` counts the item's
+    three-word grams among the aligned words (none where every third word differs); words are counted from 0,
+    the end excluded. Items of up to six words need three fitting words in a row, or all if they are fewer. Texts that hold no item give no row. Null and empty texts and items match nothing; items
     that share an id give their best match; repeated rows of documents give repeated rows. Either table may be
     empty. Only doc_id, item_id and text are read.
     """
@@ -215,9 +218,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, min_score: float = MIN_S
     for shared in _blocks(texts, benchmark):
 
         def scan(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            index, rare = shared.value
+            index = shared.value
             for batch in batches:
-                rows = [(doc.as_py(), *m) for doc, text in zip(batch.column(0), batch.column(1)) for m in matches(index, rare, text.as_py(), min_score)]
+                rows = [(doc.as_py(), *m) for doc, text in zip(batch.column(0), batch.column(1)) for m in matches(index, text.as_py(), min_score)]
                 columns = list(zip(*rows)) if rows else [[]] * 6
                 types = [pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64(), pa.int64()]
                 yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, types)], names=["doc_id", "item_id", "score", "seeds", "start_word", "end_word"])
@@ -237,8 +240,8 @@ def keep_uncontaminated(docs: DataFrame, benchmark: DataFrame, min_score: float
 def _holds(shared, min_score: float):
     @F.pandas_udf("boolean")
     def holds(texts: pd.Series) -> pd.Series:
-        index, rare = shared.value
-        return texts.map(lambda t: bool(matches(index, rare, t, min_score))).astype(bool)
+        index = shared.value
+        return texts.map(lambda t: bool(matches(index, t, min_score))).astype(bool)
 
     return holds
 
