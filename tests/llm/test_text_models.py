@@ -55,6 +55,33 @@ def test_noisy_or_and_sentences():
     assert toxicity.noisy_or(m.sentences(" \n ")) == 0.0
 
 
+def test_length_alone_is_not_toxic(spark):
+    rows = sentences(1, 400)
+    clean = [s + "." for _, t, y in rows if not y for s in t.split(".") if s.strip()]
+    long_text = "\n".join(clean[k % len(clean)] for k in range(100_000))
+    model = toxicity.fit_sentences([t for _, t, _ in rows], [y for _, _, y in rows])
+    assert model.score(long_text) < 0.1
+    assert model.score(long_text + "\nthe grumble ended.") >= 0.5
+    # Weak sentences don't add up, causes do; without any toxic label no text is toxic.
+    weak = toxicity.Model({"=bad": 6.0, "=odd": 1.0}, -5.0)
+    assert weak.score("odd one.\n" * 100_000) < 0.1 < 0.9 < weak.score("bad one. " * 5)
+    assert toxicity.fit_sentences(["a. b."], [0]).score(long_text) == 0.0
+
+
+def test_long_labelled_texts_are_fitted(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(toxicity, "fit_sentences", lambda texts, labels: seen.append(sorted(map(len, texts))))
+    ids = [k for k in range(40) if zlib.crc32(str(k).encode()) % 5][:12]
+    docs = spark.createDataFrame([(k, "word " * (40_000 if n == 3 else 10)) for n, k in enumerate(ids)], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, n % 2) for n, k in enumerate(ids)], "doc_id long, toxic int")
+    toxicity.fit(docs, labels)
+    assert seen == [[50] * 11 + [200_000]]
+    # Bounded by characters in all, not by the length of one text.
+    monkeypatch.setattr(toxicity, "FIT_CHARS", 200)
+    toxicity.fit(docs, labels)
+    assert seen[1] == [50] * 4
+
+
 def brute_base(rows):
     tokens = lambda t: [w for w in re.split(rb"[\x20\x09-\x0D]+", t.encode().lower()) if w] + [b""]
     held = [i is not None and zlib.crc32(str(i).encode()) % 7 == 2 for i, _ in rows]

@@ -1,9 +1,10 @@
 """Toxicity by multiple-instance learning (operator 6).
 
 A document is a bag of sentences and only the bag has a label. Each sentence gets a logistic score from its
-words and their beginnings; the document's score is the noisy-or of its sentences. The weights are trained
-through the noisy-or, so the sentences that carry a label are found without sentence labels, and scoring
-returns them as spans.
+words and their beginnings; the document's score is the noisy-or of its sentences, each counted by what it has
+above the bias, so that sentences without any weighted word add nothing, however many there are. The weights
+are trained through the noisy-or, so the sentences that carry a label are found without sentence labels, and
+scoring returns them as spans.
 """
 
 from __future__ import annotations
@@ -21,9 +22,18 @@ from pyspark.sql import functions as F
 
 from .common import read_table
 
-#: Labelled rows that the model is fitted on, about, and their longest text. Scoring reads every row in full.
+#: Labelled documents that the model is fitted on, about, and their characters in all: whole texts of any length,
+#: fewer where they are long. Scoring reads every row in full.
 FIT_ROWS = 8_000
-FIT_CHARS = 20_000
+FIT_CHARS = 24_000_000
+#: Chance of the label without any cause in the text; fitting only.
+LEAK = 0.01
+#: Logit of a sentence without any weighted word.
+BIAS = -5.0
+#: Pull of every weight towards 0, so that words which met the label by chance lose theirs.
+SPARSE = 0.2
+#: Score above the bias from which sentences add up in the noisy-or.
+COUNTS = 0.3
 #: Documents of the fitting sample in which a feature must occur.
 MIN_DOCS = 3
 STEPS = 120
@@ -90,6 +100,18 @@ class Model:
         starts = np.concatenate([[0], np.flatnonzero(ends) + 1])
         return self.bias + np.add.reduceat(self.word_weight[at], starts)
 
+    def score(self, text: str) -> float:
+        """The noisy-or of what the sentences have above the bias; weak ones count by the strongest of them only.
+
+        So a clean text scores the same however long it is. A bias that alone is toxic (all labels were) counts in full.
+        """
+        z = self.sentences(text)
+        if self.bias >= 0 or not len(z):
+            return noisy_or(z)
+        above = np.logaddexp(0.0, z) - np.logaddexp(0.0, self.bias)
+        strong = above[above >= -np.log1p(-COUNTS)]
+        return float(-np.expm1(-(strong.sum() if len(strong) else max(above.max(), 0.0))))
+
     def spans(self, text: str) -> list[dict]:
         """Character spans and scores of the sentences with a score of 0.5 or more."""
         found, start, end, z, has = [], None, None, self.bias, False
@@ -170,20 +192,20 @@ def fit_sentences(texts: list[str], labels: list[int], steps: int = STEPS, min_d
     # Start from shrunken log odds; only features seen often enough, and more often with the label, get a weight.
     live = (in_all >= min_docs) & (odds > 1.0)
     w = np.where(live, 0.5 * odds * in_all / (in_all + 5.0), 0.0)
-    bias = -5.0
-    m, v, mb, vb = np.zeros_like(w), np.zeros_like(w), 0.0, 0.0
+    # Sentences without a cause add nothing, so nothing in the data could set their bias.
+    bias = BIAS
+    m, v = np.zeros_like(w), np.zeros_like(w)
     for t in range(1, steps + 1):
         z = bias + np.bincount(token_sentence, weights=np.bincount(f_word, weights=w[f_id], minlength=n_words)[token], minlength=len(sentence_doc))
         p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
-        doc = -np.expm1(-np.bincount(sentence_doc, weights=np.logaddexp(0, z), minlength=len(y)))
-        gz = p * (1 - (y / np.maximum(doc, 1e-9))[sentence_doc])
-        g = np.bincount(f_id, weights=np.bincount(token, weights=gz[token_sentence], minlength=n_words)[f_word], minlength=len(w)) + 0.02 * w
-        g, gb = np.where(live, g, 0.0), gz.sum()
+        above = np.bincount(sentence_doc, weights=np.logaddexp(0, z) - np.logaddexp(0, bias), minlength=len(y))
+        pull = (1 - y / (1 - (1 - LEAK) * np.exp(-above)))[sentence_doc]
+        gz = p * pull
+        g = np.bincount(f_id, weights=np.bincount(token, weights=gz[token_sentence], minlength=n_words)[f_word], minlength=len(w)) + 0.02 * w + SPARSE
+        g = np.where(live, g, 0.0)
         m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
-        mb, vb = 0.9 * mb + 0.1 * gb, 0.99 * vb + 0.01 * gb * gb
         step = 0.1 / (1 - 0.9**t)
         w -= step * m / (np.sqrt(v / (1 - 0.99**t)) + 1e-6)
-        bias -= step * mb / (np.sqrt(vb / (1 - 0.99**t)) + 1e-6)
         w = np.maximum(w, 0.0)
     return Model({names[i]: float(w[i]) for i in np.flatnonzero(w > 0.01)}, float(bias))
 
@@ -196,15 +218,24 @@ def held_out(id_col: str = "doc_id") -> Column:
 def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Model:
     """A model from at most about ``rows`` labelled documents outside the held-out fold, taken by the hash of their id.
 
-    Labels of one document are merged by their maximum; null labels and null ids teach nothing.
+    Texts are taken whole, whatever their length, in the order of that hash until FIT_CHARS characters are reached;
+    only a document that is longer than that by itself teaches nothing. Labels of one document are merged by their
+    maximum; null labels and null ids teach nothing.
     """
     known = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out()).groupBy(F.col("doc_id").alias("__id")).agg(F.max("toxic").alias("__toxic"))
     n = known.count()
     share = min(1.0, rows / max(n, 1))
     known = known.where(F.pmod(F.xxhash64("__id"), F.lit(1_000_000)) < int(share * 1_000_000))
     text = F.coalesce(F.col("text"), F.lit(""))
-    bags = docs.select(F.col("doc_id").alias("__doc"), text.alias("__text")).where(F.char_length("__text") <= FIT_CHARS)
-    sample = bags.join(known, F.col("__doc") == F.col("__id")).select("__doc", "__text", "__toxic").limit(rows + rows // 4).toArrow()
+    bags = docs.select(F.col("doc_id").alias("__doc"), text.alias("__text"))
+    # About ``rows`` rows of numbers: how long each document is, with the rows that repeat its id.
+    sizes = bags.select("__doc", F.char_length("__text").alias("__chars")).join(known, F.col("__doc") == F.col("__id")).groupBy("__id").agg(
+        F.max("__toxic").alias("__toxic"), F.sum("__chars").alias("__chars"), F.xxhash64("__id").alias("__hash")
+    )
+    fits = sorted((r["__hash"], r["__id"], r["__toxic"], r["__chars"]) for r in sizes.where(F.col("__chars") <= FIT_CHARS).collect())
+    taken = np.searchsorted(np.cumsum([chars for *_, chars in fits]), FIT_CHARS, "right")
+    chosen = docs.sparkSession.createDataFrame([(i, y) for _, i, y, _ in fits[:taken]], known.schema)
+    sample = bags.join(F.broadcast(chosen), F.col("__doc") == F.col("__id")).select("__doc", "__text", "__toxic").limit(rows + rows // 4).toArrow()
     bags = sorted(zip(*(sample.column(c).to_pylist() for c in ("__doc", "__text", "__toxic"))))
     del sample
     return fit_sentences([t for _, t, _ in bags], [int(y > 0) for _, _, y in bags])
@@ -222,7 +253,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             scores, spans = [], []
             for text in batch.column(1):
                 text = text.as_py() or ""
-                s = noisy_or(model.sentences(text))
+                s = model.score(text)
                 scores.append(s)
                 spans.append(model.spans(text) if s >= 0.5 else [])
             predicted = [int(s >= 0.5) for s in scores]
@@ -248,6 +279,6 @@ def keep_inoffensive(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     @F.pandas_udf("boolean")
     def offends(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: noisy_or(model.sentences(t or "")) >= 0.5).astype(bool)
+        return texts.map(lambda t: model.score(t or "") >= 0.5).astype(bool)
 
     return docs.where(~offends(F.coalesce(F.col("text").cast("string"), F.lit(""))))
