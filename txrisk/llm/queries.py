@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from . import decontaminate, exact_dedup, html_extract, lm_score, minhash, packing, suffix_dedup, token_output, toxicity, url_filter
+from . import (
+    collocation, decontaminate, exact_dedup, html_extract, lm_score, minhash, packing, suffix_dedup, token_output, toxicity, url_filter,
+)
 
 QUERIES = {
     "op1_packing": packing.op1_packing,
@@ -15,10 +17,12 @@ QUERIES = {
     "op8_token_output": token_output.op8_token_output,
     "op9_exact_dedup": exact_dedup.op9_exact_dedup,
     "op10_minhash": minhash.op10_minhash,
+    "op13_collocation": collocation.op13_collocation,
 }
 
 ORACLE = {
     "op4_url_filter": url_filter.ORACLE_SQL,
     "op9_exact_dedup": exact_dedup.ORACLE_SQL,
     "op10_minhash": minhash.ORACLE_SQL,
+    "op13_collocation": collocation.ORACLE_SQL,
 }
