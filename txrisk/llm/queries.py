@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from . import (
-    collocation, decontaminate, exact_dedup, html_extract, lm_score, minhash, packing, suffix_dedup, token_output, toxicity, url_filter,
+    collocation, decontaminate, exact_dedup, html_extract, lm_score, merkle, minhash, packing, quality_rules, suffix_dedup, token_output, toxicity,
+    url_filter,
 )
 
 QUERIES = {
@@ -17,6 +18,8 @@ QUERIES = {
     "op8_token_output": token_output.op8_token_output,
     "op9_exact_dedup": exact_dedup.op9_exact_dedup,
     "op10_minhash": minhash.op10_minhash,
+    "op11_merkle": merkle.op11_merkle,
+    "op12_quality_rules": quality_rules.op12_quality_rules,
     "op13_collocation": collocation.op13_collocation,
 }
 
@@ -24,5 +27,6 @@ ORACLE = {
     "op4_url_filter": url_filter.ORACLE_SQL,
     "op9_exact_dedup": exact_dedup.ORACLE_SQL,
     "op10_minhash": minhash.ORACLE_SQL,
+    "op11_merkle": merkle.ORACLE_SQL,
     "op13_collocation": collocation.ORACLE_SQL,
 }
