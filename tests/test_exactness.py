@@ -153,45 +153,41 @@ def test_scored_fixture_values(spark):
 
 
 def test_knn_prunes_on_real_features(spark):
-    """On the real 36-column minority, cells of 64 leave few pairs to compare, and equal brute force."""
+    """On the real 36-column minority, bounds leave less than 5 % of the pairs to compare, and the result equals brute force."""
     import __spark_entry__ as entry_module  # noqa: F401  (registers the queries)
     from txrisk.plans import registry
 
-    prepared, cols = registry._prepared_train(spark, "/root/testdata/sf0.01")
+    prepared, cols = registry._prepared_train(spark, "/root/testdata/sf0.1")
     minority = prepared.filter("isFraud = 1").select("tx_id", *cols).cache()
     pdf = minority.toPandas()
     x = pdf[cols].fillna(0.0).to_numpy(dtype=float)
-    compared = {"n": 0}
+    assert len(x) > 1500
     own, other = knn._own_cell, knn._other_cell
     acc = spark.sparkContext.accumulator(0)
 
-    def counted_own(k):
-        def run(p):
-            acc.add(len(p) ** 2)
-            return own(k)(p)
-        return run
-
-    def counted_other(q, r):
-        acc.add(len(q) * len(r))
-        return other(q, r)
+    def counted(f, *args):
+        before = knn.compared["pairs"]
+        out = f(*args)
+        acc.add(knn.compared["pairs"] - before)
+        return out
 
     old = knn.BLOCK
-    knn.BLOCK, knn._own_cell, knn._other_cell = 4, counted_own, counted_other
-    try:
-        got = knn.minority_knn(minority, "tx_id", cols, k=5).toPandas()
-    finally:
-        knn.BLOCK, knn._own_cell, knn._other_cell = old, own, other
-    compared["n"] = acc.value
-    d = np.zeros((len(x), len(x)))
-    for j in range(x.shape[1]):
-        d += (x[:, j][:, None] - x[:, j][None, :]) ** 2
-    ids = pdf["tx_id"].tolist()
-    nb = got.sort_values(["id", "rank"]).groupby("id")["neighbor_id"].apply(list).to_dict()
-    for a in range(len(x)):
-        order = sorted((d[a, b], ids[b]) for b in range(len(x)) if b != a)[:5]
-        assert [int(i) for _, i in order] == nb[ids[a]]
-    # 151 points are few cells; on the 1,514 of sf0.1 the share is 11 %.
-    assert compared["n"] < 0.9 * len(x) ** 2
+    for block in (old, 64):
+        start = acc.value
+        knn.BLOCK, knn._own_cell, knn._other_cell = block, lambda k: lambda p: counted(own(k), p), lambda q, r: counted(other, q, r)
+        try:
+            got = knn.minority_knn(minority, "tx_id", cols, k=5).toPandas()
+        finally:
+            knn.BLOCK, knn._own_cell, knn._other_cell = old, own, other
+        d = np.zeros((len(x), len(x)))
+        for j in range(x.shape[1]):
+            d += (x[:, j][:, None] - x[:, j][None, :]) ** 2
+        ids = pdf["tx_id"].to_numpy()
+        np.fill_diagonal(d, np.inf)
+        nb = got.sort_values(["id", "rank"]).groupby("id")["neighbor_id"].apply(list).to_dict()
+        for a in range(len(x)):
+            assert ids[np.lexsort((ids, d[a]))[:5]].tolist() == nb[ids[a]]
+        assert acc.value - start < 0.05 * len(x) ** 2
 
 
 def test_smote_index_is_the_same_for_any_partitioning_and_key_type(spark):

@@ -1,36 +1,31 @@
-"""Model fitting, validation, tuning and scoring on Spark ML.
-
-The reference trains a dense network with Keras. Here the same roles are
-filled by MLlib estimators (distributed gradient aggregation per
-iteration): a multilayer perceptron, logistic regression or gradient
-boosted trees. Options MLlib does not have (dropout, L2 or batch norm in
-the perceptron, class weights with it) raise instead of being ignored.
-The fitted artefact is one ``PipelineModel`` (NULL filling, vector
-assembly, classifier) that can be saved and loaded.
+"""Model fitting and scoring.
+
+The default model is the dense network of ``operators.network``. MLlib
+estimators (distributed gradient aggregation per iteration) can take its
+place: a multilayer perceptron, logistic regression or gradient boosted
+trees. Options MLlib does not have (dropout, L2 or batch norm in the
+perceptron, class weights with it) raise instead of being ignored. The
+fitted artefact is a ``DenseNetwork``, or one ``PipelineModel`` (NULL
+filling, vector assembly, classifier); both can be saved and loaded.
 """
 
 from __future__ import annotations
 
-import json
-import math
-from dataclasses import dataclass, field
-
 import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, MultilayerPerceptronClassifier
-from pyspark.ml.evaluation import Evaluator
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.functions import predict_batch_udf, vector_to_array
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from txrisk.functions import decide, risk_level
-from txrisk.operators.evaluation import average_precision
+from txrisk.operators import network, preprocess
+from txrisk.operators.network import DenseNetwork
 from txrisk.schema import KEY, TARGET
 
-ALGOS = ("mlp", "logreg", "gbt")
+ALGOS = ("dense", "mlp", "logreg", "gbt")
 # Defaults of the reference training configuration.
 DEFAULTS = {
     "hidden_layers": [256, 128, 64, 32],
@@ -85,11 +80,18 @@ def _classifier(algo: str, params: dict, n_features: int, label: str, weight_col
 
 
 def fit_classifier(
-    train: DataFrame, cols: list[str], algo: str = "mlp", params: dict | None = None, label: str = TARGET,
-    weight_col: str | None = None, seed: int = 42,
-) -> PipelineModel:
-    """Fit on prepared rows; returns fill -> assemble -> classifier as one PipelineModel."""
+    train: DataFrame, cols: list[str], algo: str = "dense", params: dict | None = None, label: str = TARGET,
+    weight_col: str | None = None, seed: int = 42, val: DataFrame | None = None, key: str = KEY, state_dir: str | None = None,
+) -> DenseNetwork | PipelineModel:
+    """Fit on prepared rows; a network, or fill -> assemble -> classifier as one PipelineModel.
+
+    ``val`` (early stopping) and ``state_dir`` (resumable training) are options of the network.
+    """
     params = params or {}
+    if algo == "dense":
+        return network.fit_network(train, cols, params, val, label, weight_col, key, seed, state_dir)
+    if val is not None or state_dir is not None:
+        raise ValueError(f"{algo} is fitted without validation rows and saved states")
     est = _classifier(algo, params, len(cols), label, weight_col, seed)
     pipe = Pipeline(stages=[
         _fill_stage(cols),
@@ -100,13 +102,15 @@ def fit_classifier(
     return pipe.fit(data)
 
 
-def probability(model: PipelineModel, df: DataFrame) -> DataFrame:
+def probability(model: DenseNetwork | PipelineModel, df: DataFrame) -> DataFrame:
     """Model output with a ``probability_fraud`` double column (class 1)."""
+    if isinstance(model, DenseNetwork):
+        return model.probability(df)
     out = model.transform(df)
     return out.withColumn("probability_fraud", vector_to_array(F.col("probability"))[1])
 
 
-def score_batch(model: PipelineModel, df: DataFrame, threshold: float = 0.5, key: str = KEY) -> DataFrame:
+def score_batch(model: DenseNetwork | PipelineModel, df: DataFrame, threshold: float = 0.5, key: str = KEY) -> DataFrame:
     """I4: key, probability, is_fraud (p >= threshold), risk_level, threshold_used. Map-only."""
     scored = probability(model, df)
     p = F.col("probability_fraud")
@@ -116,138 +120,33 @@ def score_batch(model: PipelineModel, df: DataFrame, threshold: float = 0.5, key
     )
 
 
-def scored_table(model: PipelineModel, df: DataFrame, key: str = KEY, label: str = TARGET) -> DataFrame:
+def scored_table(model: DenseNetwork | PipelineModel, df: DataFrame, key: str = KEY, label: str = TARGET) -> DataFrame:
     """(id, y_true, score): the input of every evaluation operator."""
     return probability(model, df).select(
         F.col(key).alias("id"), F.col(label).cast("int").alias("y_true"), F.col("probability_fraud").alias("score")
     )
 
 
-def training_history(model: PipelineModel) -> DataFrame:
-    """Loss per iteration of the fitted classifier (perceptron and logistic regression)."""
+def training_history(model: DenseNetwork | PipelineModel) -> DataFrame:
+    """Loss, average precision and AUC of training and validation per epoch; MLlib models keep the loss only."""
+    from pyspark.sql import SparkSession
+
+    if isinstance(model, DenseNetwork):
+        return model.history_table(SparkSession.active())
     clf = model.stages[-1]
     if not clf.hasSummary:
         raise ValueError(f"{type(clf).__name__} keeps no training summary")
     summary = clf.summary() if callable(clf.summary) else clf.summary  # a method in some versions
     hist = list(summary.objectiveHistory)
-    from pyspark.sql import SparkSession
-
     return SparkSession.active().createDataFrame([(i, float(v)) for i, v in enumerate(hist)], "iteration int, loss double")
 
 
-class AveragePrecisionEvaluator(Evaluator):
-    """Evaluator for CrossValidator: exact average precision (not the trapezoidal areaUnderPR)."""
-
-    def __init__(self, label: str = TARGET):
-        super().__init__()
-        self.label = label
-
-    def _evaluate(self, dataset: DataFrame) -> float:
-        s = dataset.select(
-            F.col(self.label).cast("int").alias("y_true"), vector_to_array(F.col("probability"))[1].alias("score")
-        )
-        return average_precision(s)
-
-    def isLargerBetter(self) -> bool:
-        return True
-
-
-@dataclass
-class Trial:
-    stage: str
-    params: dict
-    score: float = float("nan")
-    extra: dict = field(default_factory=dict)
-
-
-def _log_uniform(rng, lo, hi):
-    return float(math.exp(rng.uniform(math.log(lo), math.log(hi))))
-
-
-def suggest(rng: np.random.Generator, stage: str, best: dict | None = None) -> dict:
-    """Parameter draws of the two-stage search (ranges of the reference; perceptron options only)."""
-    if stage == "coarse":
-        n_layers = int(rng.integers(2, 6))
-        return {
-            "hidden_layers": [int(round(_log_uniform(rng, 32, 512))) for _ in range(n_layers)],
-            "learning_rate": _log_uniform(rng, 1e-5, 1e-2),
-            "batch_size": int(rng.choice([256, 512, 1024])),
-        }
-    if stage == "fine" and best:
-        return {
-            "hidden_layers": [int(rng.integers(max(16, int(u * 0.7)), int(u * 1.3) + 1)) for u in best["hidden_layers"]],
-            "learning_rate": _log_uniform(rng, max(1e-6, best["learning_rate"] / 3), min(1e-1, best["learning_rate"] * 3)),
-            "batch_size": int(rng.choice([best["batch_size"], 256, 1024])),
-        }
-    raise ValueError(f"Unknown tuning stage: {stage}")
-
-
 def fit_with_validation(
-    train: DataFrame, val: DataFrame, cols: list[str], params: dict | None = None, max_epochs: int = 32,
-    patience: int = 2, label: str = TARGET, seed: int = 42,
-):
-    """Grow the iteration budget while validation average precision improves.
-
-    Returns (best model, rows of (epochs, val_ap)). Stops after ``patience``
-    budgets without improvement, keeping the best.
-    """
-    params = dict(params or {})
-    best, best_ap, history, since = None, -1.0, [], 0
-    epochs = 1
-    while epochs <= max_epochs:
-        model = fit_classifier(train, cols, "mlp", {**params, "epochs": epochs}, label=label, seed=seed)
-        ap = average_precision(scored_table(model, val, label=label))
-        history.append((epochs, ap))
-        if ap > best_ap:
-            best, best_ap, since = model, ap, 0
-        else:
-            since += 1
-            if since >= patience:
-                break
-        epochs *= 2
-    return best, history
-
-
-def tune(
-    train: DataFrame, cols: list[str], n_coarse: int = 4, n_fine: int = 4, epochs: int = 15, seed: int = 42,
-    folds: DataFrame | None = None, val: DataFrame | None = None, label: str = TARGET, parallelism: int = 1,
-):
-    """Seeded random search, coarse then fine around the best.
-
-    Scores are average precision on ``val`` (holdout) or mean over the
-    ``fold`` column of ``folds`` via CrossValidator(foldCol=...).
-    Returns (best params, list of Trial).
-    """
-    if val is None and folds is None:
-        raise ValueError("tune needs a validation set or a fold column")
-    rng = np.random.default_rng(seed)
-    trials: list[Trial] = []
-    best = None
-    for stage, n in (("coarse", n_coarse), ("fine", n_fine)):
-        for _ in range(n):
-            params = suggest(rng, stage, best.params if best else None)
-            params["epochs"] = epochs
-            if folds is not None:
-                est = _classifier("mlp", params, len(cols), label, None, seed)
-                pipe = Pipeline(stages=[_fill_stage(cols), VectorAssembler(inputCols=["f__" + c for c in cols], outputCol="features"), est])
-                cv = CrossValidator(
-                    estimator=pipe, estimatorParamMaps=ParamGridBuilder().build(),
-                    evaluator=AveragePrecisionEvaluator(label), foldCol="fold", parallelism=parallelism, seed=seed,
-                )
-                score = float(cv.fit(folds.withColumn(label, F.col(label).cast("double"))).avgMetrics[0])
-            else:
-                model = fit_classifier(train, cols, "mlp", params, label=label, seed=seed)
-                score = average_precision(scored_table(model, val, label=label))
-            t = Trial(stage, params, score)
-            trials.append(t)
-            if best is None or score > best.score:
-                best = t
-    return best.params, trials
-
-
-def trials_frame(spark, trials: list[Trial]) -> DataFrame:
-    rows = [(i, t.stage, json.dumps(t.params, sort_keys=True), float(t.score)) for i, t in enumerate(trials)]
-    return spark.createDataFrame(rows, "trial int, stage string, params string, score double")
+    train: DataFrame, val: DataFrame, cols: list[str], params: dict | None = None, label: str = TARGET, key: str = KEY,
+    weight_col: str | None = None, seed: int = 42, state_dir: str | None = None,
+) -> DenseNetwork:
+    """Train while the validation average precision improves; the best epoch's weights are restored."""
+    return network.fit_network(train, cols, params, val, label, weight_col, key, seed, state_dir)
 
 
 # ---------------------------------------------------------------- K1: foreign models as batch UDFs
@@ -272,3 +171,41 @@ def score_udf(make_predict_fn, n_features: int, batch_size: int = 4096):
     return predict_batch_udf(
         make_predict_fn, return_type=T.DoubleType(), batch_size=batch_size, input_tensor_shapes=[[n_features]]
     )
+
+
+def bundle_score(model: DenseNetwork, pre: "preprocess.Preprocessor", spark) -> Column:
+    """K1: probability of raw (unscaled, uncategorised) feature rows by one exported bundle.
+
+    Centres, scales, categories and weights go to the executors in one broadcast of bounded size (columns,
+    categories and weights), are unpacked once per worker, and Arrow batches are scored by matrix products.
+    Missing numbers count as the scaled mean, unknown and missing categories as none.
+    """
+    import pandas as pd
+
+    stats = {r["feature"]: (r["center"], r["scale"]) for r in pre.stats.collect()}  # one row per column
+    center = np.array([stats[c][0] if stats[c][0] is not None else 0.0 for c in pre.numerical])
+    scale = np.array([stats[c][1] for c in pre.numerical])
+    known = pre._categories()
+    codes = [{v: k for k, v in enumerate(known.get(c, [])[1:])} for c in pre.categorical]
+    if pre.output_columns() != model.cols:
+        raise ValueError("the model was fitted on other columns than the preprocessor gives")
+    shared = spark.sparkContext.broadcast((center, scale, codes, model.cfg, model.theta, model.stats, model.cols))
+
+    def score(batches):
+        center, scale, codes, cfg, theta, stats, cols = shared.value
+        net = DenseNetwork(cols, cfg, theta, stats)
+        for rows in batches:
+            x = np.vstack(rows["x"].to_numpy()).astype(float) if len(rows) else np.zeros((0, len(center)))
+            parts = []
+            for k, code in enumerate(codes):
+                hot = np.zeros((len(rows), len(code)))
+                at = np.array([code.get(v, -1) for v in rows[f"c{k}"]], dtype=int)
+                known = np.flatnonzero(at >= 0)
+                hot[known, at[known]] = 1.0
+                parts.append(hot)
+            yield pd.Series(net.probabilities(np.hstack([*parts, np.nan_to_num((x - center) / scale, nan=0.0)])))
+
+    numbers = F.array(*[F.coalesce(F.col(f"`{c}`").cast("double"), F.lit(float("nan"))) for c in pre.numerical])
+    categories = [F.col(c).cast("string").alias(f"c{k}") for k, c in enumerate(pre.categorical)]
+    udf = F.pandas_udf(score, T.DoubleType(), F.PandasUDFType.SCALAR_ITER)
+    return udf(F.struct(numbers.alias("x"), *categories))

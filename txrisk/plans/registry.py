@@ -1021,9 +1021,9 @@ def q_score_batch_consistency(spark, sf_dir):
 
 @register("training_history")
 def q_training_history(spark, sf_dir):
-    cfg = training.RunConfig(params={"epochs": 10})
-    model, _, _ = _fitted(spark, sf_dir, cfg)
-    return modeling.training_history(model)
+    prep, cfg = _prepared(spark, sf_dir, training.RunConfig(params={"epochs": 10}))
+    rows, wcol = training.rebalance(prep, cfg)
+    return modeling.training_history(training.fit(prep, cfg, rows, wcol, val=prep.val))
 
 
 @register("refit_on_train_val")
@@ -1033,46 +1033,120 @@ def q_refit_on_train_val(spark, sf_dir):
     return modeling.scored_table(model, merged.test)
 
 
-@register("fit_with_validation")
-def q_fit_with_validation(spark, sf_dir):
-    prep, cfg = _prepared(spark, sf_dir, training.RunConfig(use_smote=False))
-    _, history = modeling.fit_with_validation(prep.train, prep.val, prep.cols, {"hidden_layers": [32, 16]}, max_epochs=8)
-    return spark.createDataFrame(history, "epochs int, val_average_precision double")
+@register("refit_statistics", _scaler_sql("standard").replace("WHERE split = 'train')", "WHERE split IN ('train', 'val'))"))
+def q_refit_statistics(spark, sf_dir):
+    """The scaler that belongs to the refitted model: statistics of training and validation rows together."""
+    prep, cfg = _prepared(spark, sf_dir, training.RunConfig(use_smote=False, use_class_weights=True))
+    _, merged = training.refit_on_train_val(prep, cfg)
+    return round_doubles(merged.pre.stats)
+
 
+#: Fixed value: the reference's built-in number of epochs (its patience is the network's default).
+FULL_EPOCHS = 50
 
-#: Trials of the registered query; the operator's caller sets the budget (the usual one is 20 + 30 of 15 epochs).
-TUNE_COARSE, TUNE_FINE = 2, 2
+
+@register("fit_with_validation")
+def q_fit_with_validation(spark, sf_dir):
+    prep, cfg = _prepared(spark, sf_dir, training.RunConfig(params={"epochs": FULL_EPOCHS}))
+    rows, wcol = training.rebalance(prep, cfg)
+    model = modeling.fit_with_validation(rows, prep.val, prep.cols, cfg.params, weight_col=wcol, seed=cfg.seed)
+    return modeling.training_history(model)
 
 
 @register("tune")
 def q_tune(spark, sf_dir):
-    # The holdout comes from the training rows; scaler and categories are fitted without it.
-    train = sampling.holdout(_split_features(spark, sf_dir).filter(F.col("split") == "train").drop("split"), HOLDOUT_SIZE, SEED)
-    fit_rows, held = (train.filter(F.col("part") == p).drop("part") for p in ("fit", "holdout"))
-    pre = preprocess.fit_preprocessor(fit_rows)
-    fit_rows, held = (preprocess.transform(pre, rows).persist() for rows in (fit_rows, held))
-    _, trials = modeling.tune(fit_rows, pre.output_columns(), n_coarse=TUNE_COARSE, n_fine=TUNE_FINE, epochs=5, seed=SEED, val=held)
-    return modeling.trials_frame(spark, trials)
+    from txrisk.operators import search
 
+    # Scaler, categories and SMOTE are fitted inside the search, without its holdout.
+    _, trials = search.tune(_train_features(spark, sf_dir), seed=SEED)
+    return search.trials_frame(spark, trials)
 
-@register("score_stream")
-def q_score_stream(spark, sf_dir):
+
+def _relational_probability(spark, model, rows):
+    """tx_id, p: the network as joins and sums over its exported weights, without any of its code."""
+    weights = model.weights_table(spark).cache()
+    part = lambda k, name: weights.where((F.col("layer") == k) & (F.col("part") == name))
+    x = rows.select("tx_id", F.posexplode(F.array(*[F.coalesce(F.col(c), F.lit(0.0)) for c in model.cols])).alias("i", "x"))
+    for k in range(len(model.cfg.hidden_layers) + 1):
+        z = x.join(part(k, "kernel").select("i", "j", "value"), "i").groupBy("tx_id", "j").agg(F.sum(F.col("x") * F.col("value")).alias("z"))
+        z = z.join(part(k, "bias").select("j", F.col("value").alias("bias")), "j").withColumn("z", F.col("z") + F.col("bias"))
+        if k == len(model.cfg.hidden_layers):
+            return z.select("tx_id", (1.0 / (1.0 + F.exp(-F.col("z")))).alias("p"))
+        for name in ("gamma", "beta", "mean", "variance"):
+            z = z.join(part(k, name).select("j", F.col("value").alias(name)), "j")
+        normal = (F.greatest(F.col("z"), F.lit(0.0)) - F.col("mean")) / F.sqrt(F.col("variance") + 0.001) * F.col("gamma") + F.col("beta")
+        x = z.select("tx_id", F.col("j").alias("i"), normal.alias("x"))
+
+
+@register(
+    "network_consistency",
+    with_features(f"{split_ctes('feat')} SELECT count(*) AS n_rows, 0::BIGINT AS wrong_probabilities, true AS same_loss FROM splitted WHERE split = 'test'"),
+)
+def q_network_consistency(spark, sf_dir):
+    """Test rows, those whose probability differs from the exported weights' by over 1e-9, and the two losses."""
+    cfg = training.RunConfig(use_smote=False, use_class_weights=True, params={"hidden_layers": [16, 8], "epochs": 3})
+    model, prep, _ = _fitted(spark, sf_dir, cfg)
+    scored = modeling.scored_table(model, prep.test)
+    both = scored.join(_relational_probability(spark, model, prep.test), F.col("id") == F.col("tx_id"))
+    loss = lambda p: F.avg(F.when(F.col("y_true") == 1, -F.log(p)).otherwise(-F.log(1.0 - p)))
+    out = both.agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_if(F.abs(F.col("score") - F.col("p")) > 1e-9).alias("wrong_probabilities"),
+        loss(F.col("score")).alias("a"), loss(F.col("p")).alias("b"),
+    )
+    return out.select("n_rows", "wrong_probabilities", (F.abs(F.col("a") - F.col("b")) <= 1e-9 * F.greatest(F.lit(1.0), F.abs("b"))).alias("same_loss"))
+
+
+def _differences(a, b):
+    """Rows of a, keys of a, and rows whose probability in b is missing or differs by over 1e-9."""
+    both = a.select("tx_id", F.col("probability").alias("p")).join(b.select("tx_id", F.col("probability").alias("q")), "tx_id", "left")
+    return both.agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_distinct("tx_id").alias("n_keys"),
+        F.count_if(F.coalesce(F.abs(F.col("p") - F.col("q")) > 1e-9, F.lit(True))).alias("differences"),
+    )
+
+
+_NO_DIFFERENCES = f"WITH {tx_cte()} SELECT count(*) AS n_rows, count(DISTINCT tx_id) AS n_keys, 0::BIGINT AS differences FROM tx"
+
+
+@register("score_udf_consistency", _NO_DIFFERENCES)
+def q_score_udf_consistency(spark, sf_dir):
+    """K1: the exported bundle (scaler, categories, weights) on raw features against batch scoring, whole ledger."""
+    features = _features(spark, sf_dir)
+    model, prep, cfg = _fitted(spark, sf_dir, training.RunConfig(use_smote=False, use_class_weights=True))
+    batch = modeling.score_batch(model, preprocess.transform(prep.pre, features), cfg.threshold)
+    return _differences(features.select("tx_id", modeling.bundle_score(model, prep.pre, spark).alias("probability")), batch)
+
+
+@register("score_stream_consistency", _NO_DIFFERENCES)
+def q_score_stream_consistency(spark, sf_dir):
+    """The stream's scores against batch scoring with the same stored parameters, whole ledger."""
+    cfg = training.RunConfig(use_smote=False, use_class_weights=True)
+    streamed, batch = _streamed(spark, sf_dir, cfg)
+    return _differences(streamed, batch)
+
+
+def _streamed(spark, sf_dir, cfg):
+    """(scores of the stream, scores of the batch plan) by one fitted run."""
     from txrisk.operators.features import fit_outlier_bounds
     from txrisk.plans.feature_plan import build_features
-    from txrisk.streaming.scoring import score_stream
+    from txrisk.streaming.scoring import score_stream, scoring_frame
 
     ledger = _tx(spark, sf_dir)
     bounds = fit_outlier_bounds(spark, ledger)
-    feats = build_features(spark, ledger, bounds=bounds)
-    prep = training.prepare(spark, feats, training.RunConfig())
-    rows, _ = training.rebalance(prep, training.RunConfig())
-    model = training.fit(prep, training.RunConfig(), rows)
+    prep = training.prepare(spark, build_features(spark, ledger, bounds=bounds), cfg)
+    rows, wcol = training.rebalance(prep, cfg)
+    model = training.fit(prep, cfg, rows, wcol)
     # The whole ledger arrives as files; the stream scores every row with stored bounds and parameters.
     src, sink, ckpt = (scratch_path(spark, n) for n in ("stream-src", "stream-sink", "stream-ckpt"))
     ledger.write.parquet(src)
     q = score_stream(spark, src, sink, ckpt, bounds, prep.pre, model)
     q.awaitTermination()
-    return spark.read.parquet(sink)
+    return spark.read.parquet(sink), scoring_frame(spark, spark.read.parquet(src), bounds, prep.pre, model)
+
+
+@register("score_stream")
+def q_score_stream(spark, sf_dir):
+    return _streamed(spark, sf_dir, training.RunConfig())[0]
 
 
 _UDF_COLS = ["log1p_amount", "inconsistent_orig", "emptied_account", "is_night"]

@@ -6,13 +6,13 @@ parameter tables and metric rows.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txrisk.operators import evaluation, imbalance, modeling, preprocess, sampling
+from txrisk.operators import evaluation, imbalance, modeling, preprocess, sampling, search
 from txrisk.operators.correlation import drop_collinear
 from txrisk.operators.features import fit_outlier_bounds
 from txrisk.plans.feature_plan import build_features
@@ -29,12 +29,15 @@ class RunConfig:
     use_smote: bool = True
     smote_ratio: float = 0.3
     use_class_weights: bool = False
-    algo: str = "mlp"
+    algo: str = "dense"
     params: dict | None = None
     drop_collinear: bool = False
     corr_threshold: float = 0.95
     corr_sample_size: int | None = None
+    corr_exclude: tuple[str, ...] = ()
     threshold: float = 0.5
+    tune: bool = False
+    tune_options: dict | None = None
 
 
 @dataclass
@@ -50,12 +53,15 @@ class Prepared:
 def prepare(spark: SparkSession, features: DataFrame, cfg: RunConfig) -> Prepared:
     if cfg.use_smote and cfg.use_class_weights:
         raise ValueError("SMOTE and class weights cannot be used together")
-    if cfg.drop_collinear:
-        features, _ = drop_collinear(features, cfg.corr_threshold, cfg.corr_sample_size, cfg.seed)
-    # Many passes follow (split cut-offs, fits, transforms, SMOTE): write the feature table once;
+    # Many passes follow (correlations, split cut-offs, fits, transforms, SMOTE): write the feature table once;
     # the split itself is then a cheap projection over the written table.
     features = materialize(features, "features")
-    split = sampling.stratified_split(features, cfg.test_size, cfg.val_size, cfg.seed)
+    if cfg.drop_collinear:
+        features, _ = drop_collinear(features, cfg.corr_threshold, cfg.corr_sample_size, cfg.seed, cfg.corr_exclude)
+    return _fitted_splits(sampling.stratified_split(features, cfg.test_size, cfg.val_size, cfg.seed), cfg)
+
+
+def _fitted_splits(split: DataFrame, cfg: RunConfig) -> Prepared:
     train_raw = split.filter(F.col("split") == "train").drop("split")
     pre = preprocess.fit_preprocessor(train_raw, scaler=cfg.scaler)
     cols = pre.output_columns()
@@ -66,6 +72,20 @@ def prepare(spark: SparkSession, features: DataFrame, cfg: RunConfig) -> Prepare
     return Prepared(pre, cols, part("train"), part("val"), part("test"), split)
 
 
+def with_scaler(prep: Prepared, cfg: RunConfig) -> Prepared:
+    """The same splits under the scaler of ``cfg``."""
+    if prep.pre.scaler == cfg.scaler:
+        return prep
+    release(prep)
+    return _fitted_splits(prep.raw, cfg)
+
+
+def release(prep: Prepared, *more: DataFrame) -> None:
+    """Let go of the persisted splits and other rows of a run."""
+    for df in (prep.train, prep.val, prep.test, *more):
+        df.unpersist(blocking=False)
+
+
 def rebalance(prep: Prepared, cfg: RunConfig):
     """(training rows, weight column or None) after SMOTE or class weights."""
     if cfg.use_smote:
@@ -78,9 +98,19 @@ def rebalance(prep: Prepared, cfg: RunConfig):
     return prep.train, None
 
 
-def fit(prep: Prepared, cfg: RunConfig, rows: DataFrame | None = None, weight_col: str | None = None):
+def fit(prep: Prepared, cfg: RunConfig, rows: DataFrame | None = None, weight_col: str | None = None, val: DataFrame | None = None, state_dir: str | None = None):
+    """The configured model on ``rows`` (default: the training rows); with ``val`` it stops early."""
     rows = rows if rows is not None else prep.train
-    return modeling.fit_classifier(rows, prep.cols, cfg.algo, cfg.params or {}, weight_col=weight_col, seed=cfg.seed)
+    return modeling.fit_classifier(rows, prep.cols, cfg.algo, cfg.params or {}, weight_col=weight_col, seed=cfg.seed, val=val, state_dir=state_dir)
+
+
+def tuned(prep: Prepared, cfg: RunConfig) -> RunConfig:
+    """``cfg`` with the options that the search over the training rows finds best."""
+    best, _ = search.tune(prep.raw.filter(F.col("split") == "train").drop("split"), seed=cfg.seed, **(cfg.tune_options or {}))
+    own = ("scaler", "use_smote", "smote_ratio")
+    params = {**(cfg.params or {}), **{k: v for k, v in best.items() if k not in own}}
+    weights = cfg.use_class_weights and not best["use_smote"]
+    return replace(cfg, params=params, use_class_weights=weights, tune=False, **{k: best[k] for k in own})
 
 
 def refit_on_train_val(prep: Prepared, cfg: RunConfig):
@@ -109,8 +139,11 @@ def run(spark: SparkSession, ledger: DataFrame, cfg: RunConfig | None = None, ou
     bounds = fit_outlier_bounds(spark, ledger)
     features = build_features(spark, ledger, bounds=bounds)
     prep = prepare(spark, features, cfg)
+    if cfg.tune:
+        cfg = tuned(prep, cfg)
+        prep = with_scaler(prep, cfg)
     rows, wcol = rebalance(prep, cfg)
-    model = fit(prep, cfg, rows, wcol)
+    model = fit(prep, cfg, rows, wcol, val=prep.val if cfg.algo == "dense" else None)
     metrics = evaluation.evaluate(modeling.scored_table(model, prep.test), cfg.threshold)
     final, merged = refit_on_train_val(prep, cfg)
     if out_path:

@@ -12,6 +12,8 @@ import json
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
+from txrisk.operators.network import DenseNetwork
+
 PARAM_TABLES = ("bounds", "categories", "stats")
 
 
@@ -23,7 +25,9 @@ def save_params(path: str, tables: dict[str, DataFrame], config: dict | None = N
         spark.createDataFrame([(json.dumps(config, sort_keys=True),)], "config string").coalesce(1).write.mode(
             "overwrite"
         ).json(f"{path}/config")
-    if model is not None:
+    if isinstance(model, DenseNetwork):
+        model.save(SparkSession.active(), f"{path}/model")
+    elif model is not None:
         model.write().overwrite().save(f"{path}/model")
 
 
@@ -67,6 +71,10 @@ def load_model(path: str):
     from py4j.protocol import Py4JJavaError
     from pyspark.ml import PipelineModel
 
+    try:
+        return DenseNetwork.load(SparkSession.active(), f"{path}/model")
+    except AnalysisException:  # no network there: a pipeline, or nothing
+        pass
     try:
         return PipelineModel.load(f"{path}/model")
     except (AnalysisException, Py4JJavaError) as e:

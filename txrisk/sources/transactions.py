@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from txrisk.functions import nan_to_null
+from txrisk.plans.persist import materialize
 from txrisk.schema import KEY, TARGET, TRANSACTION_SCHEMA, require_columns
 
 _MAPPING_SQL = """
@@ -153,13 +154,20 @@ def load_transactions(
 def with_content_key(df: DataFrame, key: str = KEY) -> DataFrame:
     """``df`` with a text key from the md5 of each row's content and the number among its equals.
 
-    Equal rows are interchangeable, so the keys do not depend on partitioning or file order.
+    Equal rows are interchangeable, so the keys do not depend on partitioning or file order. They are numbered
+    where they lie, per partition of the ledger, and the counts of the partitions before are added, so that no
+    task gets all rows of one content. The ledger is written first: counts and numbers see the same partitions.
     """
     parts = [F.coalesce(F.concat(F.length(c.cast("string")).cast("string"), F.lit(":"), c.cast("string")), F.lit("-")) for c in map(F.col, sorted(df.columns))]
     content = F.md5(F.concat_ws("|", *parts))
-    nth = F.row_number().over(Window.partitionBy("_content").orderBy("_content"))
-    keyed = df.withColumn("_content", content).withColumn("_nth", nth)
-    return keyed.withColumn(key, F.concat_ws("-", "_content", F.col("_nth").cast("string"))).drop("_content", "_nth")
+    place = ["_content", "_part"]
+    placed = materialize(df.withColumn("_content", content).withColumn("_part", F.spark_partition_id()), "keyless")
+    nth = F.row_number().over(Window.partitionBy(*place).orderBy("_content"))
+    before = F.sum("_n").over(Window.partitionBy("_content").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
+    counts = placed.groupBy(*place).agg(F.count(F.lit(1)).alias("_n")).select(*place, F.coalesce(before, F.lit(0)).alias("_before"))
+    keyed = placed.withColumn("_nth", nth).join(counts, place)
+    number = (F.col("_nth") + F.col("_before")).cast("string")
+    return keyed.select(*df.columns, F.concat_ws("-", "_content", number).alias(key))
 
 
 def extract_target(df: DataFrame, target_col: str = TARGET, key: str = KEY):

@@ -3,7 +3,7 @@
 Incoming ledger files are read with ``readStream`` and a fixed schema,
 cleaned and engineered with the *stored* winsor bounds (no fitting on the
 stream), preprocessed with the stored parameter tables and scored by the
-fitted PipelineModel. The query is stateless (map-only), so it needs no
+fitted model. The query is stateless (map-only), so it needs no
 watermark; progress is kept in the checkpoint location, which makes
 restarts exactly-once for the file sink.
 """
@@ -16,14 +16,15 @@ from pyspark.sql.streaming import StreamingQuery
 
 from txrisk.operators import features as feat_ops
 from txrisk.operators import modeling, preprocess
+from txrisk.operators.network import DenseNetwork
 from txrisk.plans.feature_plan import order_columns
 from txrisk.schema import KEY, TRANSACTION_SCHEMA
 from txrisk.sources.transactions import normalise_ledger
 
 
 def scoring_frame(
-    spark: SparkSession, ledger: DataFrame, bounds: DataFrame, pre: preprocess.Preprocessor, model: PipelineModel,
-    threshold: float = 0.5, key: str = KEY,
+    spark: SparkSession, ledger: DataFrame, bounds: DataFrame, pre: preprocess.Preprocessor,
+    model: DenseNetwork | PipelineModel, threshold: float = 0.5, key: str = KEY,
 ) -> DataFrame:
     """The per-row scoring plan, valid for batch and streaming ledgers alike."""
     feats = order_columns(feat_ops.engineer(feat_ops.clean(spark, normalise_ledger(ledger), bounds=bounds)))
@@ -33,7 +34,7 @@ def scoring_frame(
 
 def score_stream(
     spark: SparkSession, source_dir: str, sink_dir: str, checkpoint_dir: str, bounds: DataFrame,
-    pre: preprocess.Preprocessor, model: PipelineModel, threshold: float = 0.5, available_now: bool = True,
+    pre: preprocess.Preprocessor, model: DenseNetwork | PipelineModel, threshold: float = 0.5, available_now: bool = True,
     max_files_per_trigger: int | None = None,
 ) -> StreamingQuery:
     """Start the scoring stream from parquet files in ``source_dir`` to parquet in ``sink_dir``."""
