@@ -4,8 +4,10 @@ The occurrences of words are one relation, sorted by piece and position and writ
 documents. Level k joins the relation of frequent phrases of k-1 words with itself where one occurrence starts
 a position after the other in the same piece (both are sorted, so this merge never leaves a block), counts the
 groups, and semi-joins the occurrences with the groups that are frequent before the next level extends them.
-A block hands on each of its groups once with its count, so even the most frequent word or phrase is one row
-per block in the shuffle, and no piece of text, only keys and counts, is ever exchanged.
+A block hands on each of its groups once with its count, so even the most frequent word or phrase is one entry
+per block in the shuffle, and no piece of text, only keys and counts, is ever exchanged. Phrases travel packed:
+a block's groups are dealt to buckets by their hash, and one row holds a block's part of a bucket, sorted and
+compressed; a bucket's parts are counted together, and every block gets back which of its groups are frequent.
 """
 
 from __future__ import annotations
@@ -28,6 +30,8 @@ COVER_PERCENT = 50
 TOP = 2000
 #: Occurrences that one block holds, about: whole documents are added until there are so many.
 BLOCK_WORDS = 1_000_000
+#: Occurrences whose groups one bucket counts, about.
+BUCKET_WORDS = 2_000_000
 #: Characters of text split into words at a time, and groups in one Arrow batch.
 SPLIT_CHARS = 1 << 20
 BATCH_ROWS = 1 << 16
@@ -40,47 +44,42 @@ _MARKS = b".,;:!?\n\x0b\x0c\r"
 _BREAK = b"\xff"
 _TO_BREAK = bytes.maketrans(_MARKS, _BREAK * len(_MARKS))
 
-_OCCURRENCES = "block long, at binary, ids binary"
-_WORDS = _OCCURRENCES + ", local int, lang string, word string, n long"
-_GROUPS = _OCCURRENCES + ", local int, left long, right long, n long"
+#: Bits of a block's number within its task, and of a group's number within its block.
+_BLOCK_BITS, _LOCAL_BITS = 16, 25
 
+_WORDS = "block long, at binary, ids binary, own long, lang string, word string, n int"
+_PARTS = "block long, at binary, ids binary, bucket long, first int, left binary, right binary, n binary"
+_COUNTED = "id long, left long, right long, f long, block long, first int, local binary, ids binary"
 
-def _squeeze(numbers: np.ndarray) -> bytes:
-    import zstandard
 
-    return zstandard.ZstdCompressor(level=1).compress(numbers.astype("<i4").tobytes())
+def _schema(ddl: str) -> pa.Schema:
+    kinds = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary(), "string": pa.string()}
+    return pa.schema([(name, kinds[kind]) for name, kind in (f.split() for f in ddl.split(", "))])
 
 
-def _spread(data: bytes) -> np.ndarray:
+def _squeeze(numbers: np.ndarray, kind: str = "<i4") -> bytes:
+    """Numbers compressed byte by byte: first all lowest bytes, then the next ones."""
     import zstandard
 
-    return np.frombuffer(zstandard.ZstdDecompressor().decompress(data), "<i4")
-
+    planes = np.ascontiguousarray(numbers, kind).view(np.uint8).reshape(len(numbers), -1).T
+    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
 
-def _occurrence_row(block: int, at: np.ndarray, ids: np.ndarray, schema: pa.Schema) -> pa.RecordBatch:
-    """The sorted relation (place, id) of a block; places as steps from the one before."""
-    row = {"block": block, "at": _squeeze(np.diff(at, prepend=0)), "ids": _squeeze(ids)}
-    return pa.RecordBatch.from_arrays([pa.array([row.get(f.name)], f.type) for f in schema], schema=schema)
 
+def _spread(data: bytes, kind: str = "<i4") -> np.ndarray:
+    import zstandard
 
-def _group_rows(block: int, schema: pa.Schema, **columns) -> Iterator[pa.RecordBatch]:
-    n = len(columns["n"])
-    for a in range(0, n, BATCH_ROWS):
-        m = min(BATCH_ROWS, n - a)
-        part = {"block": np.full(m, block), "local": np.arange(a, a + m)} | {k: v[a:a + m] for k, v in columns.items()}
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(part[f.name], f.type) if f.name in part else pa.nulls(m, f.type) for f in schema], schema=schema
-        )
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    return np.ascontiguousarray(planes.T).view(kind)[:, 0]
 
 
-def _word_schema() -> pa.Schema:
-    return pa.schema([("block", pa.int64()), ("at", pa.binary()), ("ids", pa.binary()), ("local", pa.int32()),
-                      ("lang", pa.string()), ("word", pa.string()), ("n", pa.int64())])
+def _batch(schema: pa.Schema, n_rows: int, /, **columns) -> pa.RecordBatch:
+    """``n_rows`` rows of ``schema``; a column that isn't given is null."""
+    return pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) if f.name in columns else pa.nulls(n_rows, f.type) for f in schema], schema=schema)
 
 
-def _group_schema() -> pa.Schema:
-    return pa.schema([("block", pa.int64()), ("at", pa.binary()), ("ids", pa.binary()), ("local", pa.int32()),
-                      ("left", pa.int64()), ("right", pa.int64()), ("n", pa.int64())])
+def _occurrence_row(block: int, at: np.ndarray, ids: np.ndarray, schema: pa.Schema) -> pa.RecordBatch:
+    """The sorted relation (place, id) of a block; places as steps from the one before."""
+    return _batch(schema, 1, block=[block], at=[_squeeze(np.diff(at, prepend=0))], ids=[_squeeze(ids)])
 
 
 class _Numbers(dict):
@@ -116,16 +115,23 @@ class _Block:
         self.place += len(tokens)
 
     def rows(self, block: int, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
-        at, ids = np.frombuffer(self.at, np.int32), np.frombuffer(self.ids, np.int32)
-        if not len(ids):
+        """The occurrences, then the words with their counts; ``own`` holds block and number, and names no other word."""
+        at, ids, total = np.frombuffer(self.at, np.int32), np.frombuffer(self.ids, np.int32), len(self.names)
+        if not total:
             return
+        if total >> _LOCAL_BITS:
+            raise ValueError("a text holds more different words than a block can number")
         yield _occurrence_row(block, at, ids, schema)
-        yield from _group_rows(block, schema, lang=[a for a, _ in self.names], word=[w.decode() for _, w in self.names], n=np.bincount(ids, minlength=len(self.names)))
+        n = np.bincount(ids, minlength=total)
+        for a in range(0, total, BATCH_ROWS):
+            names = self.names[a:a + BATCH_ROWS]
+            own = np.arange(a, a + len(names)) + (block << _LOCAL_BITS)
+            yield _batch(schema, len(names), own=own, lang=[x for x, _ in names], word=[w.decode() for _, w in names], n=n[a:a + len(names)])
 
 
 def _tokenise(block_words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema, number, block = _word_schema(), partition_id() << 33, _Block()
+        schema, number, block = _schema(_WORDS), partition_id() << _BLOCK_BITS, _Block()
         for batch in batches:
             waiting, chars = defaultdict(list), 0
             langs = batch.column(0).to_pylist()
@@ -145,40 +151,130 @@ def _tokenise(block_words: int):
     return run
 
 
-def _extend(last: bool):
-    """Blocks of frequent phrases -> the groups one word longer, and their occurrences unless no level follows."""
+def _buckets(left: np.ndarray, right: np.ndarray, n: int) -> np.ndarray:
+    key = (left.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) ^ (right.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
+    key ^= key >> np.uint64(29)
+    return ((key * np.uint64(0xBF58476D1CE4E5B9)) >> np.uint64(33)).astype(np.int64) % n
+
+
+def _known_words(row: dict) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers and ids of a block's frequent words."""
+    known = row["known"].values
+    return known.field("local").to_numpy(), known.field("id").to_numpy()
+
+
+def _known_groups(row: dict) -> tuple[np.ndarray, np.ndarray]:
+    """The same of its frequent phrases, from the buckets' packed answers."""
+    parts = row["known"].as_py()
+    return (np.concatenate([x["first"] + _spread(x["local"]) for x in parts]), np.concatenate([_spread(x["ids"], "<i8") for x in parts]))
+
+
+def _extend(known, n_buckets: int, last: bool):
+    """Blocks of frequent phrases -> their groups one word longer by bucket, and the occurrences if a level follows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = _group_schema()
+        schema = _schema(_PARTS)
         for batch in batches:
             for k in range(batch.num_rows):
-                block, at, ids, local, group = (batch.column(c)[k] for c in range(5))
-                at, ids = np.cumsum(_spread(at.as_py())), _spread(ids.as_py())
-                local, group = local.values.to_numpy(), group.values.to_numpy()
+                row = {name: batch.column(name)[k] for name in ("block", "at", "ids", "known")}
+                block, at, ids = row["block"].as_py(), np.cumsum(_spread(row["at"].as_py()), dtype=np.int32), _spread(row["ids"].as_py())
+                local, group = known(row)
                 # Semi-join: occurrences of groups that aren't frequent go.
-                name = np.full(int(max(ids.max(), local.max())) + 1, -1)
+                name = np.full(int(max(ids.max(), local.max())) + 1, -1, np.int32)
                 name[local] = np.arange(len(local))
-                stay = name[ids] >= 0
-                at, ids = at[stay], name[ids[stay]]
+                ids = name[ids]
+                stay = ids >= 0
+                at, ids = at[stay], ids[stay]
                 # Merge join of two sorted relations: the occurrence one place on is the next one, if any.
                 here = np.flatnonzero(at[1:] == at[:-1] + 1)
-                key, ids, n = np.unique(ids[here] * len(local) + ids[here + 1], return_inverse=True, return_counts=True)
+                key, ids, n = np.unique(ids[here].astype(np.int64) * len(local) + ids[here + 1], return_inverse=True, return_counts=True)
                 if not len(key):
                     continue
+                left, right = group[key // len(local)], group[key % len(local)]
+                bucket = _buckets(left, right, n_buckets)
+                # Groups are numbered by bucket, so a bucket's part of a block is a run of numbers.
+                order = np.lexsort((right, left, bucket))
+                left, right, n, bucket = left[order], right[order], n[order], bucket[order]
                 if not last:
-                    yield _occurrence_row(block.as_py(), at[here], ids, schema)
-                yield from _group_rows(block.as_py(), schema, left=group[key // len(local)], right=group[key % len(local)], n=n)
+                    number = np.empty(len(order), np.int32)
+                    number[order] = np.arange(len(order))
+                    yield _occurrence_row(block, at[here], number[ids], schema)
+                starts = np.flatnonzero(np.diff(bucket, prepend=-1))
+                runs = [slice(a, b) for a, b in zip(starts, [*starts[1:], len(bucket)])]
+                yield _batch(
+                    schema, len(runs), block=np.full(len(runs), block), bucket=bucket[starts], first=starts,
+                    left=[_squeeze(np.diff(left[r], prepend=0), "<i8") for r in runs], right=[_squeeze(right[r], "<i8") for r in runs],
+                    n=[_squeeze(n[r]) for r in runs],
+                )
 
     return run
 
 
-def _kept(blocks: DataFrame, groups: DataFrame, frequent: DataFrame, on: list[str]) -> DataFrame:
-    """Every block with the numbers and ids of its frequent groups."""
-    known = groups.join(frequent.select(*on, "id"), on).groupBy("block").agg(F.collect_list(F.struct("local", "id")).alias("known"))
-    return blocks.join(known, "block").select("block", "at", "ids", F.col("known.local").alias("local"), F.col("known.id").alias("id"))
+def _count(min_count: int, last: bool):
+    """Parts of buckets, sorted by bucket -> the frequent groups, and for every block which of its own are frequent."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema, current, parts = _schema(_COUNTED), None, []
+
+        def close():
+            left, right, n = (np.concatenate([p[c] for p in parts]) for c in (2, 3, 4))
+            order = np.lexsort((right, left))
+            a, b = left[order], right[order]
+            new = np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])])
+            f = np.add.reduceat(n[order].astype(np.int64), np.flatnonzero(new))
+            often = np.flatnonzero(f >= min_count)
+            if not len(often):
+                return
+            at = np.flatnonzero(new)[often]
+            ids = (current << 32) + np.arange(len(often))
+            yield _batch(schema, len(often), id=ids, left=a[at], right=b[at], f=f[often])
+            if last:
+                return
+            id_of = np.full(len(f), -1)
+            id_of[often] = ids
+            own = np.empty(len(order), np.int64)
+            own[order] = id_of[np.cumsum(new) - 1]
+            cuts = np.cumsum([len(p[2]) for p in parts])[:-1]
+            rows = []
+            for (block, first, *_), part in zip(parts, np.split(own, cuts)):
+                local = np.flatnonzero(part >= 0)
+                if len(local):
+                    rows.append((block, first, _squeeze(local), _squeeze(part[local], "<i8")))
+            if rows:
+                yield _batch(schema, len(rows), **dict(zip(("block", "first", "local", "ids"), map(list, zip(*rows)))))
+
+        for batch in batches:
+            for k in range(batch.num_rows):
+                bucket, block, first, left, right, n = (batch.column(c)[k].as_py() for c in ("bucket", "block", "first", "left", "right", "n"))
+                if bucket != current and parts:
+                    yield from close()
+                    parts = []
+                current = bucket
+                parts.append((block, first, np.cumsum(_spread(left, "<i8")), _spread(right, "<i8"), _spread(n)))
+        if parts:
+            yield from close()
+
+    return run
 
 
-def frequent_phrases(docs: DataFrame, max_words: int = MAX_WORDS, min_count: int = MIN_COUNT, block_words: int = BLOCK_WORDS) -> list[DataFrame]:
+def _frequent_words(words: DataFrame, min_count: int) -> DataFrame:
+    """own, id, f, lang, word: words that are frequent in all blocks together, by the least ``own``.
+
+    One exchange serves the group-count and the semi-join; a word has at most one row per block. Only the row
+    that names a word keeps its text.
+    """
+    w = Window.partitionBy("lang", "word")
+    found = words.withColumn("f", F.sum("n").over(w)).withColumn("id", F.min("own").over(w)).where(F.col("f") >= min_count)
+    return found.select("own", "id", "f", *[F.when(F.col("own") == F.col("id"), F.col(c)).alias(c) for c in ("lang", "word")])
+
+
+def _joined(blocks: DataFrame, known: DataFrame) -> DataFrame:
+    return blocks.join(known, "block").select("block", "at", "ids", "known")
+
+
+def frequent_phrases(
+    docs: DataFrame, max_words: int = MAX_WORDS, min_count: int = MIN_COUNT, block_words: int = BLOCK_WORDS, bucket_words: int = BUCKET_WORDS,
+) -> list[DataFrame]:
     """Phrases of 1, 2, ... words that occur at least ``min_count`` times in their language.
 
     Each level has id, lang, phrase, heads and tails (counts of the phrase's first, and last, 1, 2, ... words;
@@ -188,30 +284,36 @@ def frequent_phrases(docs: DataFrame, max_words: int = MAX_WORDS, min_count: int
     text = F.coalesce(F.col("text"), F.lit("")).cast("binary")
     rows = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), text.alias("text"))
     table = materialize(rows.mapInArrow(_tokenise(block_words), _WORDS), "op13-words")
-    blocks, groups = table.where("at is not null").select("block", "at", "ids"), table.where("at is null").drop("at", "ids")
-    counts = materialize(groups.groupBy("lang", "word").agg(F.sum("n").alias("f")), "op13-counts")
-    totals = counts.groupBy("lang").agg(F.sum("f").alias("total"))
-    ones = counts.where(F.col("f") >= min_count).join(totals, "lang")
+    blocks, words = table.where("at is not null").select("block", "at", "ids"), table.where("at is null").drop("block", "at", "ids")
+    totals = words.groupBy("lang").agg(F.sum("n").alias("total"))
+    found = materialize(_frequent_words(words, min_count), "op13-frequent")
     own = F.array("f")
-    ones = ones.select(F.monotonically_increasing_id().alias("id"), "lang", F.col("word").alias("phrase"), own.alias("heads"), own.alias("tails"), "total")
-    levels = [materialize(ones, "op13-level1")]
-    kept = _kept(blocks, groups, levels[0].withColumnRenamed("phrase", "word"), ["lang", "word"])
+    ones = found.where("own = id").join(totals, "lang")
+    levels = [materialize(ones.select("id", "lang", F.col("word").alias("phrase"), own.alias("heads"), own.alias("tails"), "total"), "op13-level1")]
+    n_buckets = 1 + (words.agg(F.sum("n")).first()[0] or 0) // bucket_words
+    local = F.col("own").bitwiseAND((1 << _LOCAL_BITS) - 1).alias("local")
+    known = found.groupBy(F.shiftright("own", _LOCAL_BITS).alias("block")).agg(F.collect_list(F.struct(local, "id")).alias("known"))
+    decode = _known_words
     for k in range(2, max_words + 1):
         last = k == max_words
-        table = materialize(kept.mapInArrow(_extend(last), _GROUPS), f"op13-groups{k}")
-        blocks, groups = table.where("at is not null").select("block", "at", "ids"), table.where("at is null").drop("at", "ids")
-        counts = groups.groupBy("left", "right").agg(F.sum("n").alias("f")).where(F.col("f") >= min_count)
+        grown = _joined(blocks, known).mapInArrow(_extend(decode, n_buckets, last), _PARTS)
+        if not last:
+            grown = materialize(grown, f"op13-parts{k}")
+        parts = grown.where("at is null").drop("at", "ids").repartition("bucket").sortWithinPartitions("bucket", "block")
+        counted = materialize(parts.mapInArrow(_count(min_count, last), _COUNTED), f"op13-counted{k}")
         a = levels[-1].select(F.col("id").alias("left"), "lang", F.col("phrase").alias("start"), "heads")
         b = levels[-1].select(F.col("id").alias("right"), F.col("phrase").alias("end"), "tails")
-        grown = counts.join(a, "left").join(b, "right").select(
-            F.monotonically_increasing_id().alias("id"), "lang",
+        longer = counted.where("id is not null").select("id", "left", "right", "f").join(a, "left").join(b, "right").select(
+            "id", "lang",
             # A left part and the last word of the right one; words hold no space.
             F.concat_ws(" ", "start", F.substring_index("end", " ", -1)).alias("phrase"),
             F.concat("heads", own).alias("heads"), F.concat("tails", own).alias("tails"), "left", "right",
         )
-        levels.append(materialize(grown, f"op13-level{k}"))
+        levels.append(materialize(longer, f"op13-level{k}"))
         if not last:
-            kept = _kept(blocks, groups, levels[-1], ["left", "right"])
+            blocks = grown.where("at is not null").select("block", "at", "ids")
+            known = counted.where("block is not null").groupBy("block").agg(F.collect_list(F.struct("first", "local", "ids")).alias("known"))
+            decode = _known_groups
     return levels
 
 
@@ -228,7 +330,7 @@ def _scored(level: DataFrame, k: int) -> DataFrame:
 
 def collocations(
     docs: DataFrame, max_words: int = MAX_WORDS, min_count: int = MIN_COUNT, cover_percent: int = COVER_PERCENT, top: int = TOP,
-    block_words: int = BLOCK_WORDS,
+    block_words: int = BLOCK_WORDS, bucket_words: int = BUCKET_WORDS,
 ) -> DataFrame:
     """lang, rank, phrase, a, l, r, n, score: the ``top`` phrases of each language.
 
@@ -239,7 +341,7 @@ def collocations(
     """
     if max_words < 2:
         raise ValueError("a phrase has at least two words")
-    levels = frequent_phrases(docs, max_words, min_count, block_words)
+    levels = frequent_phrases(docs, max_words, min_count, block_words, bucket_words)
     totals = levels[0].select("lang", "total").distinct()
     found = None
     for k in range(2, max_words + 1):
