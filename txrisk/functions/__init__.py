@@ -1,9 +1,9 @@
 from txrisk.functions.columns import (  # noqa: F401
+    chunked_aggregates,
     decide,
     flag,
     hash_key,
     hash_uniform,
-    long_form,
     nan_to_null,
     risk_level,
     safe_log1p,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -66,11 +68,21 @@ def hash_uniform(seed, *parts) -> Column:
     return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long") / F.lit(4294967296.0)
 
 
-def long_form(df, cols: list[str]):
-    """(ci, x): one row per (row, column) with the column index and the value as double.
+#: Columns (or other items) whose aggregates are generated as one unit of code.
+CHUNK_ITEMS = 12
+
+
+def chunked_aggregates(df, items: list[dict[str, Column]], chunk: int = CHUNK_ITEMS) -> list:
+    """One row of aggregates per item: items are dicts of the same names to aggregate expressions of the same types.
 
-    Many per-column aggregates then become one ``groupBy("ci")`` with a handful of
-    aggregate expressions instead of k x (handful) expressions in one wide aggregate.
+    Each chunk of items is an aggregate of its own over the columns it names, with partial sums per task in
+    generated code, and all chunks run as one job; rows are never multiplied. The driver gets one row per item.
     """
-    parts = ", ".join(f"{i}, CAST(`{c}` AS DOUBLE)" for i, c in enumerate(cols))
-    return df.selectExpr(f"stack({len(cols)}, {parts}) AS (ci, x)")
+    parts = []
+    for a in range(0, len(items), chunk):
+        some = items[a:a + chunk]
+        row = df.agg(*[e.alias(f"{k}_{i}") for i, item in enumerate(some) for k, e in item.items()])
+        packed = [F.struct(F.lit(a + i).alias("at"), *[F.col(f"{k}_{i}").alias(k) for k in item]) for i, item in enumerate(some)]
+        parts.append(row.select(F.array(*packed).alias("items")))
+    rows = reduce(lambda x, y: x.unionByName(y), parts).collect() if parts else []
+    return sorted((x for r in rows for x in r["items"]), key=lambda x: x["at"])

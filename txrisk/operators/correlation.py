@@ -58,15 +58,13 @@ def _moments_fn(k: int, shift: np.ndarray):
 
 def pairwise_moments(df: DataFrame, cols: list[str]) -> DataFrame:
     """(i, j, n, sx, sy, sxx, syy, sxy) summed over rows where both columns are non-null."""
-    from txrisk.functions import long_form
+    from txrisk.functions import chunked_aggregates
     from txrisk.plans.persist import passes_over
 
     k = len(cols)
     with passes_over(df.select(*[F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(cols)])) as data:
-        mins = long_form(data, data.columns).groupBy("ci").agg(F.min("x").alias("m")).collect()  # k rows
-        shift = np.zeros(k, dtype="float64")
-        for r in mins:
-            shift[int(r["ci"])] = r["m"] if r["m"] is not None else 0.0
+        mins = chunked_aggregates(data, [{"m": F.min(c)} for c in data.columns])  # k rows
+        shift = np.array([r["m"] if r["m"] is not None else 0.0 for r in mins], dtype="float64")
         parts = data.mapInPandas(_moments_fn(k, shift), MOMENT_SCHEMA)
         # Summed inside the block (k^2 rows), so the persisted input can be released afterwards.
         return _sum_moments(parts)

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from txrisk.functions import chunked_aggregates
 from txrisk.operators.quantiles import exact_quantiles
 from txrisk.plans.persist import materialize
 from txrisk.schema import CATEGORICAL_FEATURES, KEY, TARGET, numeric_columns
@@ -77,15 +78,8 @@ def fit_standard(df: DataFrame, cols: list[str]) -> DataFrame:
     """F3 fit: mean and population std (NULLs ignored); std 0 -> 1."""
     if not cols:
         return df.sparkSession.createDataFrame([], STATS_SCHEMA)
-    from txrisk.functions import long_form
-
-    stats = long_form(df, cols).groupBy("ci").agg(F.avg("x").alias("m"), F.stddev_pop("x").alias("s")).collect()
-    by = {int(r["ci"]): r for r in stats}  # one row per column
-    rows = []
-    for i, c in enumerate(cols):
-        m = by[i]["m"] if i in by else None
-        sd = by[i]["s"] if i in by else None
-        rows.append((c, m, 1.0 if (sd is None or sd == 0.0) else sd))
+    stats = chunked_aggregates(df, [{"m": F.avg(c), "s": F.stddev_pop(c)} for c in (F.col(name).cast("double") for name in cols)])
+    rows = [(c, r["m"], 1.0 if (r["s"] is None or r["s"] == 0.0) else r["s"]) for c, r in zip(cols, stats)]
     return df.sparkSession.createDataFrame(rows, STATS_SCHEMA)
 
 

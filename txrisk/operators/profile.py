@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from txrisk.functions import chunked_aggregates
 from txrisk.operators.quantiles import exact_quantiles
 from txrisk.schema import INDICATOR_COLS, KEY, TARGET, numeric_columns, require_columns
 
@@ -47,24 +48,14 @@ def describe(df: DataFrame, cols=None) -> DataFrame:
 
 
 def _describe(df: DataFrame, cols) -> DataFrame:
-    from txrisk.functions import long_form
-
     spark = df.sparkSession
-    stats = (
-        long_form(df, cols)
-        .groupBy("ci")
-        .agg(F.count("x").alias("n"), F.avg("x").alias("m"), F.stddev_samp("x").alias("s"),
-             F.min("x").alias("lo"), F.max("x").alias("hi"))
-        .collect()  # one row per column
-    )
-    by = {int(r["ci"]): r for r in stats}
-    counts = {c: int(by[i]["n"]) if i in by else 0 for i, c in enumerate(cols)}
+    x = [F.col(c).cast("double") for c in cols]
+    stats = chunked_aggregates(df, [
+        {"n": F.count(c), "m": F.avg(c), "s": F.stddev_samp(c), "lo": F.min(c), "hi": F.max(c)} for c in x
+    ])  # one row per column
+    counts = {c: int(r["n"]) for c, r in zip(cols, stats)}
     q = exact_quantiles(df, cols, [0.25, 0.5, 0.75], counts=counts)
-    rows = []
-    for i, c in enumerate(cols):
-        r = by.get(i)
-        get = (lambda k: r[k]) if r is not None else (lambda k: None)
-        rows.append((c, counts[c], get("m"), get("s"), get("lo"), q[(c, 0.25)], q[(c, 0.5)], q[(c, 0.75)], get("hi")))
+    rows = [(c, counts[c], r["m"], r["s"], r["lo"], q[(c, 0.25)], q[(c, 0.5)], q[(c, 0.75)], r["hi"]) for c, r in zip(cols, stats)]
     schema = T.StructType(
         [T.StructField("feature", T.StringType(), False), T.StructField("count", T.LongType(), False)]
         + [T.StructField(n, T.DoubleType(), True) for n in ("mean", "std", "min", "q25", "q50", "q75", "max")]

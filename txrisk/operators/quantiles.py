@@ -22,10 +22,12 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from txrisk.functions import chunked_aggregates
 from txrisk.plans.persist import passes_over
 
 ACCURACY = 10000
@@ -75,16 +77,11 @@ def _sketch(df: DataFrame, targets: list[tuple[int, _Target]]) -> dict[int, tupl
             shared[t.col].extend(t.probs())
     by_col = {}
     if shared:
-        # First round: one grouped sketch over the long form for all columns and probabilities.
-        from txrisk.functions import long_form
-
+        # First round: one sketch per column for all probabilities.
         cols = list(shared)
         probs = sorted({p for ps in shared.values() for p in ps})
-        rows = long_form(df.select(*cols), cols).where(F.col("x").isNotNull()).groupBy("ci").agg(
-            F.percentile_approx("x", probs, ACCURACY).alias("q")
-        ).collect()  # one row per column
-        for r in rows:
-            by_col[cols[int(r["ci"])]] = dict(zip(probs, r["q"]))
+        rows = chunked_aggregates(df, [{"q": F.percentile_approx(F.col(c).cast("double"), probs, ACCURACY)} for c in cols])
+        by_col = {c: dict(zip(probs, r["q"])) for c, r in zip(cols, rows)}
     for i, t in targets:
         if t.col in shared and t.lo is None and t.hi is None and t.below == 0:
             continue
@@ -135,85 +132,25 @@ def _narrow(df: DataFrame, targets: list[tuple[int, _Target]]) -> None:
             t.distinct = int(row[f"d{i}"])
 
 
-def _edges(brackets):
-    """Per column: sorted cut points such that each bracket is a union of whole intervals.
-
-    Interval b of a column holds values x with edges[b-1] <= x < edges[b]; a bracket
-    [lo, hi] starts at the edge lo and ends before the edge nextafter(hi).
-    """
-    per_col: dict[str, set] = {}
-    for _, c, lo, hi in brackets:
-        e = per_col.setdefault(c, set())
-        if lo is not None:
-            e.add(float(lo))
-        if hi is not None:
-            e.add(math.nextafter(float(hi), math.inf))
-    return {c: sorted(e) for c, e in per_col.items()}
-
-
-def _interval_counts(df: DataFrame, edges: dict[str, list[float]], keep=None):
-    """(ci, b, x) per non-null value: b = number of edges <= x, by a multi-column Bucketizer
-    (binary search on the JVM), then one stack into long form.
-
-    ``keep`` (ci -> set of intervals) restricts the output to those intervals.
-    """
-    from pyspark.ml.feature import Bucketizer
-
-    cols = list(edges)
-    splits = [[-math.inf] + (edges[c] or [0.0]) + [math.inf] for c in cols]
-    # An empty edge list gets a dummy cut at 0.0: then b counts it, so shift it back out below.
-    dummy = [not edges[c] for c in cols]
-    src = df.select(*[F.col(c).cast("double").alias(f"x{ci}") for ci, c in enumerate(cols)])
-    bucketed = Bucketizer(
-        splitsArray=splits, inputCols=[f"x{ci}" for ci in range(len(cols))],
-        outputCols=[f"b{ci}" for ci in range(len(cols))], handleInvalid="keep",
-    ).transform(src)
-    stack = ", ".join(f"{ci}, CAST(b{ci} AS INT), x{ci}" for ci in range(len(cols)))
-    long = bucketed.selectExpr(f"stack({len(cols)}, {stack}) AS (ci, b, x)").where(F.col("x").isNotNull())
-    if any(dummy):
-        fix = None
-        for ci, d in enumerate(dummy):
-            if d:
-                cond = F.col("ci") == ci
-                fix = F.when(cond, F.lit(0)) if fix is None else fix.when(cond, F.lit(0))
-        long = long.withColumn("b", fix.otherwise(F.col("b")))
-    if keep is not None:
-        cond = F.lit(False)
-        for ci, wanted in keep.items():
-            if wanted:
-                cond = cond | ((F.col("ci") == ci) & F.col("b").isin(sorted(wanted)))
-        long = long.where(cond)
-    return long, cols
-
-
 def _bracket_counts(df: DataFrame, brackets) -> dict[int, tuple[int, int]]:
-    """{target: (rows below lo, rows in [lo, hi])} from one grouped count over intervals."""
-    edges = _edges(brackets)
-    long, cols = _interval_counts(df, edges)
-    per = {(int(r["ci"]), int(r["b"])): int(r["count"]) for r in long.groupBy("ci", "b").count().collect()}
-    # at most (edges + 1) rows per column
-    out = {}
-    for i, c, lo, hi in brackets:
-        ci, e = cols.index(c), edges[c]
-        b_lo = 0 if lo is None else e.index(float(lo)) + 1
-        b_hi = len(e) if hi is None else e.index(math.nextafter(float(hi), math.inf))
-        below = sum(n for (cc, b), n in per.items() if cc == ci and b < b_lo)
-        inside = sum(n for (cc, b), n in per.items() if cc == ci and b_lo <= b <= b_hi)
-        out[i] = (below, inside)
-    return out
+    """{target: (rows below lo, rows in [lo, hi])}."""
+    items = []
+    for _, c, lo, hi in brackets:
+        x = F.col(c).cast("double")
+        items.append({"below": F.count_if(x < F.lit(lo)) if lo is not None else F.count_if(F.lit(False)), "inside": F.count_if(_in_bracket(x, lo, hi))})
+    return {i: (int(r["below"]), int(r["inside"])) for (i, *_), r in zip(brackets, chunked_aggregates(df, items))}
 
 
 def _collect(df: DataFrame, targets: list[tuple[int, _Target]]) -> None:
-    brackets = [(i, t.col, t.lo, t.hi) for i, t in targets]
-    edges = _edges(brackets)
-    cols = list(edges)
-    keep: dict[int, set] = {}
-    for _, c, lo, hi in brackets:
-        e = edges[c]
-        b_lo = 0 if lo is None else e.index(float(lo)) + 1
-        b_hi = len(e) if hi is None else e.index(math.nextafter(float(hi), math.inf))
-        keep.setdefault(cols.index(c), set()).update(range(b_lo, b_hi + 1))
-    long, _ = _interval_counts(df, edges, keep)
+    inside: dict[str, Column] = {}
+    for _, t in targets:
+        cond = _in_bracket(F.col(t.col).cast("double"), t.lo, t.hi)
+        inside[t.col] = inside[t.col] | cond if t.col in inside else cond
+    cols = list(inside)
+    # Only rows with a value in some bracket, and only those values of them, are taken apart.
+    values = [F.when(inside[c], F.struct(F.lit(k).alias("ci"), F.col(c).cast("double").alias("x"))) for k, c in enumerate(cols)]
+    hit = reduce(lambda a, b: a | b, (F.coalesce(cond, F.lit(False)) for cond in inside.values()))
+    long = df.where(hit).select(F.explode(F.array_compact(F.array(*values))).alias("v")).select("v.*")
     grouped = long.groupBy("ci", "x").count()
     # Size checked before: the brackets hold at most COLLECT_TOTAL distinct values together.
     by_col: dict[int, list[tuple[float, int]]] = {}
@@ -281,10 +218,7 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], counts:
 
 def _exact_quantiles(df: DataFrame, cols, probs, counts):
     if counts is None:
-        from txrisk.functions import long_form
-
-        got = {int(r["ci"]): int(r["n"]) for r in long_form(df, cols).groupBy("ci").agg(F.count("x").alias("n")).collect()}
-        counts = {c: got.get(i, 0) for i, c in enumerate(cols)}
+        counts = {c: int(r["n"]) for c, r in zip(cols, chunked_aggregates(df, [{"n": F.count(c)} for c in cols]))}
     requests, plan = [], {}
     for c in cols:
         n = counts[c]

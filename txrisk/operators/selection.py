@@ -73,7 +73,7 @@ def rank_cutoffs(
         small = {t: s for t, s in state.items() if s[3] <= ROW_LIMIT}
         wide = {t: s for t, s in state.items() if s[3] > ROW_LIMIT}
         if small:
-            rows = _rows_in_ranges(df, h, key, gcol, small)
+            rows = _rows_in_ranges(df, h, key, gcol, small, bool(group))
             for i, (t, (lo, hi, below, _)) in enumerate(small.items()):
                 if any(k is None for _, k in rows.get(i, [])):
                     raise ValueError("keys must not be NULL")
@@ -84,7 +84,7 @@ def rank_cutoffs(
             if lo == hi:
                 raise ValueError(f"{n} rows of group {g!r} share one hash: keys must be unique and not NULL")
         if wide:
-            subs = _sub_counts(df, h, gcol, wide)
+            subs = _sub_counts(df, h, gcol, wide, bool(group))
             for i, (t, (lo, hi, below, _)) in enumerate(wide.items()):
                 shift = max(0, _bits(hi - lo + 1) - STEP_BITS)
                 acc = below
@@ -97,33 +97,45 @@ def rank_cutoffs(
     return result
 
 
-def _targets_array(h: str, gcol: Column, ranges: dict, payload) -> Column:
-    parts = []
-    for i, (t, (lo, hi, _, _)) in enumerate(ranges.items()):
-        cond = (gcol == F.lit(t[0])) & F.col(h).between(lo, hi) if t[0] is not None else F.col(h).between(lo, hi)
-        parts.append(F.when(cond, payload(i, lo, hi)))
-    return F.array(*parts)
+def _places(ranges: dict, group: bool) -> tuple[int, dict]:
+    """(bits of a range, {(group, number of the range): places of its targets}).
 
+    All open ranges are cells of one grid (every round refines them alike), so a row's range is its leading bits.
+    """
+    shift = _bits(max(hi - lo + 1 for lo, hi, *_ in ranges.values()))
+    places: dict[tuple, list[int]] = {}
+    for i, ((g, _), (lo, _, _, _)) in enumerate(ranges.items()):
+        places.setdefault((g if group else 0, lo >> shift), []).append(i)
+    return shift, places
+
+
+def _in_places(df: DataFrame, h: str, gcol: Column, shift: int, places: dict) -> DataFrame:
+    """The rows of these ranges: a set lookup of the leading bits per group, however many targets there are."""
+    cond = F.lit(False)
+    for g in {g for g, _ in places}:
+        cond = cond | (gcol.eqNullSafe(F.lit(g)) & F.shiftright(F.col(h), shift).isin([n for x, n in places if x == g]))
+    return df.where(cond)
 
-def _rows_in_ranges(df, h, key, gcol, ranges):
-    arr = _targets_array(h, gcol, ranges, lambda i, lo, hi: F.struct(F.lit(i).alias("t"), F.col(h).alias("h"), F.col(key).alias("k")))
+
+def _rows_in_ranges(df, h, key, gcol, ranges, group):
+    shift, places = _places(ranges, group)
     out: dict[int, list] = {}
     # Each range holds at most ROW_LIMIT rows (counted before).
-    for r in df.select(F.explode(arr).alias("e")).where(F.col("e").isNotNull()).select("e.*").collect():
-        out.setdefault(int(r["t"]), []).append((int(r["h"]), r["k"]))
+    for r in _in_places(df, h, gcol, shift, places).select(gcol.alias("g"), F.col(h).alias("h"), F.col(key).alias("k")).collect():
+        for i in places[(r["g"], r["h"] >> shift)]:
+            out.setdefault(i, []).append((int(r["h"]), r["k"]))
     return out
 
 
-def _sub_counts(df, h, gcol, ranges):
-    def payload(i, lo, hi):
-        shift = max(0, _bits(hi - lo + 1) - STEP_BITS)
-        return F.struct(F.lit(i).alias("t"), F.shiftright(F.col(h) - F.lit(lo), shift).alias("s"))
-
-    arr = _targets_array(h, gcol, ranges, payload)
-    grouped = df.select(F.explode(arr).alias("e")).where(F.col("e").isNotNull()).groupBy("e.t", "e.s").count()
+def _sub_counts(df, h, gcol, ranges, group):
+    shift, places = _places(ranges, group)
+    fine = max(0, shift - STEP_BITS)
+    grouped = _in_places(df, h, gcol, shift, places).groupBy(gcol.alias("g"), F.shiftright(F.col(h), fine).alias("s")).count()
     out: dict[int, list] = {}
-    for r in grouped.collect():  # <= targets x 2^16 rows
-        out.setdefault(int(r["t"]), []).append((int(r["s"]), int(r["count"])))
+    for r in grouped.collect():  # <= ranges x 2^16 rows
+        s = int(r["s"])
+        for i in places[(r["g"], s >> (shift - fine))]:
+            out.setdefault(i, []).append((s - ((s >> (shift - fine)) << (shift - fine)), int(r["count"])))
     return out
 
 

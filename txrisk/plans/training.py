@@ -128,7 +128,10 @@ def refit_on_train_val(prep: Prepared, cfg: RunConfig):
     test = part(prep.raw.filter(F.col("split") == "test"))
     merged = Prepared(pre, pre.output_columns(), both, part(prep.raw.filter(F.col("split") == "val")), test, prep.raw)
     rows, wcol = rebalance(merged, cfg)
-    return fit(merged, cfg, rows, wcol), merged
+    model = fit(merged, cfg, rows, wcol)
+    for df in (rows, both):  # the splits stay readable, they are only not kept any more
+        df.unpersist(blocking=False)
+    return model, merged
 
 
 def run(spark: SparkSession, ledger: DataFrame, cfg: RunConfig | None = None, out_path: str | None = None):
@@ -145,6 +148,7 @@ def run(spark: SparkSession, ledger: DataFrame, cfg: RunConfig | None = None, ou
     rows, wcol = rebalance(prep, cfg)
     model = fit(prep, cfg, rows, wcol, val=prep.val if cfg.algo == "dense" else None)
     metrics = evaluation.evaluate(modeling.scored_table(model, prep.test), cfg.threshold)
+    release(prep, rows)
     final, merged = refit_on_train_val(prep, cfg)
     if out_path:
         params_io.save_params(
