@@ -105,3 +105,60 @@ def test_quantiles_with_ties_and_infinities(spark):
     df = spark.createDataFrame([(v, None) for v in x], "x double, y double")
     got = quantiles.exact_quantiles(df, ["x", "y"], [0.0, 0.5, 0.75])
     assert got[("x", 0.0)] == -5.0 and got[("x", 0.5)] == 0.0 and got[("x", 0.75)] == 1.0 and got[("y", 0.5)] is None
+
+
+def test_many_categories_are_never_spelled_out(spark, monkeypatch):
+    from txrisk.operators import preprocess
+
+    n = 100_000
+    df = spark.range(n).select(
+        F.col("id").alias("tx_id"), F.format_string("c%06d", F.col("id")).alias("type"), F.when(F.col("id") % 3 > 0, F.col("id").cast("double")).alias("x"),
+        (F.col("id") % 2).cast("int").alias("isFraud"),
+    )
+    monkeypatch.setattr(preprocess.Preprocessor, "_categories", lambda self: pytest.fail("categories on the driver"))
+    pre = preprocess.fit_preprocessor(df, categorical=["type"], numerical=["x"])
+    assert pre.categories.count() == n and pre.categories.agg(F.max("position")).first()[0] == n - 1
+    assert pre.categories.where(F.col("category") != F.format_string("c%06d", F.col("position"))).count() == 0
+    odd = spark.createDataFrame([(-1, "never seen", 1.0, 0), (-2, None, None, 1)], "tx_id long, type string, x double, isFraud int")
+    out = preprocess.transform_sparse(pre, df.unionByName(odd))
+    assert out.columns == ["tx_id", "isFraud", "features"]
+    plan = _plan(out)
+    assert "Window" not in plan and "c000123" not in plan
+    rows = {r["tx_id"]: r["features"] for r in out.where("tx_id in (-2, -1, 0, 1, 99999)").collect()}
+    ones = {k: [i for i in v.indices.tolist() if i < n - 1] for k, v in rows.items()}
+    assert all(v.size == n for v in rows.values())
+    assert ones == {-2: [], -1: [], 0: [], 1: [0], 99999: [n - 2]}
+
+
+def test_sparse_vectors_equal_the_wide_form(spark):
+    from txrisk.operators import preprocess
+
+    rng = np.random.default_rng(8)
+    rows = [(i, rng.choice(["a", "b", "c", None]), rng.choice(["u", "v"]), float(rng.normal()) if i % 5 else None, i % 2) for i in range(400)]
+    rows = [(i, None if t == "None" else t, str(u), x, y) for i, t, u, x, y in rows]
+    df = spark.createDataFrame(rows, "tx_id long, type string, kind string, x double, isFraud int")
+    pre = preprocess.fit_preprocessor(df.where("tx_id < 300"), categorical=["type", "kind"], numerical=["x"])
+    wide = preprocess.with_features_vector(preprocess.transform(pre, df), pre.output_columns()).collect()
+    want = {r["tx_id"]: r["features"].toArray().tolist() for r in wide}
+    got = {r["tx_id"]: r["features"].toArray().tolist() for r in preprocess.transform_sparse(pre, df).collect()}
+    assert got == want and len(got) == 400
+
+
+def test_the_ledger_is_evaluated_once(spark, monkeypatch):
+    from txrisk.plans import feature_plan
+
+    read = spark.sparkContext.accumulator(0)
+    ledger = feature_plan.tpch_transactions(spark, "/root/testdata/sf0.001").cache()
+    n = ledger.count()
+
+    def counted(*_):
+        def run(batches):
+            for b in batches:
+                read.add(b.num_rows)
+                yield b
+
+        return ledger.mapInArrow(run, ledger.schema)
+
+    monkeypatch.setattr(feature_plan, "tpch_transactions", counted)
+    out = feature_plan.tpch_feature_table(spark, "unused")
+    assert out.count() == n and out.agg(F.sum("amount")).first()[0] and read.value == n

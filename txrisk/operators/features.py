@@ -11,8 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from txrisk.functions import flag, safe_log1p, safe_ratio
+from txrisk.functions import chunked_aggregates, flag, safe_log1p, safe_ratio
 from txrisk.operators.quantiles import exact_quantiles
+from txrisk.plans.persist import passes_over
 from txrisk.schema import BALANCE_COLS, NAME_COLS, require_columns
 
 # Clipping percentiles and the minimum count of the reference.
@@ -70,10 +71,10 @@ def fit_winsor_bounds(
     cols = [c for c in cols if c in df.columns]
     if not cols:
         return spark.createDataFrame([], BOUNDS_SCHEMA)
-    row = df.agg(*[F.count(F.col(c)).alias(c) for c in cols]).first()
-    counts = {c: int(row[c]) for c in cols}
-    eligible = [c for c in cols if counts[c] > min_count]
-    q = exact_quantiles(df, eligible, [p_low, p_high], counts=counts) if eligible else {}
+    with passes_over(df.select(*cols)) as data:  # the ledger is read once, by the first of these passes
+        counts = {c: int(r["n"]) for c, r in zip(cols, chunked_aggregates(data, [{"n": F.count(c)} for c in cols]))}
+        eligible = [c for c in cols if counts[c] > min_count]
+        q = exact_quantiles(data, eligible, [p_low, p_high], counts=counts) if eligible else {}
     rows = [
         (c, q.get((c, p_low)), q.get((c, p_high)), counts[c]) if c in eligible else (c, None, None, counts[c])
         for c in cols

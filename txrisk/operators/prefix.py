@@ -1,4 +1,4 @@
-"""Distributed running sums in a global order (building block P2 for curves).
+"""Distributed running sums and positions in a global order (building block P2).
 
 A window without PARTITION BY moves every row into one task. Instead the
 ordered table is cut into equal-frequency range buckets (edges from
@@ -64,3 +64,22 @@ def descending_running_sums(
         (F.col("_last_bucket") & F.lead(order_col).over(w).isNull()).alias("is_last"),
     )
     return out
+
+
+def grouped_positions(df: DataFrame, group: str, order: list[str], out: str = "position", name: str = "positions") -> DataFrame:
+    """``df`` with each row's 0-based position in its group, in ``order`` (nulls first).
+
+    A range sort numbers the rows where they lie; a group's offsets in its partitions are sums over one row per
+    partition, so a group of any size fills as many tasks as it needs. The sorted rows are written once.
+    """
+    from txrisk.plans.persist import materialize
+
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys = [F.col(c).asc_nulls_first() for c in [group, *order]]
+    placed = df.repartitionByRange(parts, *keys).sortWithinPartitions(*keys).withColumn("_nr", F.monotonically_increasing_id())
+    placed = materialize(placed.withColumn("_part", F.shiftright("_nr", 33)), name)
+    before = F.sum("_n").over(Window.partitionBy(group).orderBy("_part").rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("_n")
+    runs = placed.groupBy(group, "_part").agg(F.min("_nr").alias("_head"), F.count(F.lit(1)).alias("_n"))
+    runs = runs.select(F.col(group).alias("_g"), F.col("_part").alias("_p"), (before - F.col("_head")).alias("_shift"))
+    both = placed.join(runs, placed[group].eqNullSafe(runs["_g"]) & (placed["_part"] == runs["_p"]))
+    return both.select(*df.columns, (F.col("_nr") + F.col("_shift")).alias(out))

@@ -10,12 +10,14 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.ml.feature import OneHotEncoder, VectorAssembler
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from txrisk.functions import chunked_aggregates
+from txrisk.operators.prefix import grouped_positions
 from txrisk.operators.quantiles import exact_quantiles
 from txrisk.plans.persist import materialize
 from txrisk.schema import CATEGORICAL_FEATURES, KEY, TARGET, numeric_columns
@@ -52,8 +54,21 @@ def fit_categories(df: DataFrame, cols: list[str]) -> DataFrame:
         return spark.createDataFrame([], CATEGORY_SCHEMA)
     long = df.select(*[F.col(c).cast("string").alias(c) for c in cols]).unpivot([], list(cols), "feature", "category")
     found = long.where(F.col("category").isNotNull()).distinct()
-    position = F.row_number().over(Window.partitionBy("feature").orderBy("category")) - 1
-    return materialize(found.select("feature", "category", position.cast("int").alias("position")), "categories")
+    # A feature's categories are numbered across as many tasks as they fill.
+    numbered = grouped_positions(found, "feature", ["category"], name="categories")
+    return materialize(numbered.select("feature", "category", F.col("position").cast("int").alias("position")), "categories")
+
+
+def _category_counts(pre: "Preprocessor") -> dict[str, int]:
+    return {r["feature"]: r["n"] for r in pre.categories.groupBy("feature").agg(F.count(F.lit(1)).alias("n")).collect()}  # one row per column
+
+
+def _with_positions(pre: "Preprocessor", df: DataFrame) -> DataFrame:
+    """``df`` with ``_i0``, ``_i1``, ...: the position of each categorical value, null where it is unknown or NULL."""
+    for k, c in enumerate(pre.categorical):
+        own = pre.categories.where(F.col("feature") == c).select(F.col("category").alias(f"_c{k}"), F.col("position").alias(f"_i{k}"))
+        df = df.join(own, F.col(c).cast("string") == F.col(f"_c{k}"), "left").drop(f"_c{k}")
+    return df
 
 
 def one_hot_sparse(pre: "Preprocessor", df: DataFrame) -> DataFrame:
@@ -62,18 +77,42 @@ def one_hot_sparse(pre: "Preprocessor", df: DataFrame) -> DataFrame:
     The categories are joined, not spelled out, so their number may grow with the data. The first category of
     each column has no index, unknown and NULL values have none either.
     """
-    out, indices = df, []
-    widths = {r["feature"]: r["n"] for r in pre.categories.groupBy("feature").agg(F.count(F.lit(1)).alias("n")).collect()}  # one row per column
-    base = 0
+    widths, out, indices, base = _category_counts(pre), _with_positions(pre, df), [], 0
     for k, c in enumerate(pre.categorical):
-        own = pre.categories.where((F.col("feature") == c) & (F.col("position") > 0)).select(F.col("category").alias(f"_c{k}"), (F.col("position") - 1 + base).alias(f"_i{k}"))
-        out = out.join(own, F.col(c).cast("string") == F.col(f"_c{k}"), "left").drop(f"_c{k}")
-        indices.append(F.col(f"_i{k}"))
+        indices.append(F.when(F.col(f"_i{k}") > 0, F.col(f"_i{k}") - 1 + base))
         base += max(0, widths.get(c, 0) - 1)
     hot = F.array_compact(F.array(*indices)) if indices else F.array().cast("array<int>")
     return out.withColumn("hot_size", F.lit(base)).withColumn("hot_indices", hot).drop(*[f"_i{k}" for k in range(len(indices))])
 
 
+def transform_sparse(pre: "Preprocessor", df: DataFrame, passthrough=(KEY, TARGET), out: str = "features") -> DataFrame:
+    """F1/F2 with any number of categories: one ML vector per row, the one-hot block sparse, then the scaled numbers.
+
+    The columns of the vector are those of :func:`transform`, in the same order. Categories are joined and the
+    vectors are put together on the JVM: neither the plan nor the driver ever holds a category. Missing scaled
+    numbers are 0, the scaled mean.
+    """
+    keep = [c for c in passthrough if c in df.columns]
+    widths = _category_counts(pre)
+    rows, blocks = _with_positions(pre, df), []
+    for k, c in enumerate(pre.categorical):
+        n = widths.get(c, 0)
+        if n < 2:  # no column
+            continue
+        # The first category, unknown and missing values take the last place, which the encoder drops.
+        place = F.when(F.col(f"_i{k}") > 0, F.col(f"_i{k}") - 1).otherwise(n - 1).cast("double")
+        rows = rows.withColumn(f"_i{k}", place)
+        # Fitted on the largest place alone, the encoder knows the size of the block.
+        largest = df.sparkSession.createDataFrame([(float(n - 1),)], f"_i{k} double")
+        encoder = OneHotEncoder(inputCols=[f"_i{k}"], outputCols=[f"_v{k}"], dropLast=True).fit(largest)
+        rows = encoder.transform(rows)
+        blocks.append(f"_v{k}")
+    scaled = [F.coalesce(c, F.lit(0.0)).alias(f"_n{j}") for j, c in enumerate(scaled_columns(pre))]
+    rows = rows.select(*keep, *blocks, *scaled)
+    assembled = VectorAssembler(inputCols=[*blocks, *[f"_n{j}" for j in range(len(scaled))]], outputCol=out).transform(rows)
+    return assembled.select(*keep, out)
+
+
 def fit_standard(df: DataFrame, cols: list[str]) -> DataFrame:
     """F3 fit: mean and population std (NULLs ignored); std 0 -> 1."""
     if not cols:
