@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import os
 from collections.abc import Iterator
 
@@ -12,7 +14,7 @@ from pyspark.sql import functions as F
 
 from txrisk.plans.persist import materialize
 
-__all__ = ["SPACES", "materialize", "packed", "partition_id", "read_table", "text_bytes", "tokenizer_path", "unpacked"]
+__all__ = ["SPACES", "materialize", "packed", "partition_id", "read_table", "releasing", "text_bytes", "tokenizer_path", "unpacked"]
 
 #: Fixed value: the white space that the contracts name, as a character class.
 SPACES = r"[\x20\x09-\x0D]"
@@ -42,6 +44,26 @@ def partition_id() -> int:
     return ctx.partitionId() if ctx else 0
 
 
+def releasing(run):
+    """``run``, a function from batches to batches, that gives freed memory back to the system when it ends.
+
+    Python workers go on to other stages; what the allocators keep of finished work would add up beside them.
+    """
+
+    @functools.wraps(run)
+    def wrapped(batches: Iterator) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            try:
+                ctypes.CDLL("libc.so.6").malloc_trim(0)
+            except (OSError, AttributeError):  # another C library
+                pass
+
+    return wrapped
+
+
 def packed(rows: DataFrame, column: str = "text") -> DataFrame:
     """``rows`` with a binary column compressed, for a shuffle; :func:`unpacked` undoes it."""
 

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import read_table
+from .common import read_table, releasing
 
 #: An alignment must be worth so many fitting words in a row (the whole item, if it is shorter): one or two
 #: common words are no copy of a short item. Items of seven words and more need more than this anyway.
@@ -30,7 +30,7 @@ MIN_SCORE = 0.45
 #: Words of test items that one block holds, about.
 BLOCK_WORDS = 1_000_000
 #: Words whose number one worker remembers; a memory bound, it changes no result.
-CACHE_WORDS = 500_000
+CACHE_WORDS = 150_000
 
 _STRIP = ".,;:!?\"'()[]{}<>*#$%&|«»“”„‘’¿¡…-–—_/\\"
 
@@ -224,8 +224,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, min_score: float = MIN_S
                 columns = list(zip(*rows)) if rows else [[]] * 6
                 types = [pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64(), pa.int64()]
                 yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, types)], names=["doc_id", "item_id", "score", "seeds", "start_word", "end_word"])
+            index.known.clear()
 
-        out.append(texts.mapInArrow(scan, schema))
+        out.append(texts.mapInArrow(releasing(scan), schema))
     return reduce(DataFrame.unionByName, out) if out else docs.sparkSession.createDataFrame([], schema)
 
 
@@ -238,10 +239,16 @@ def keep_uncontaminated(docs: DataFrame, benchmark: DataFrame, min_score: float
 
 
 def _holds(shared, min_score: float):
-    @F.pandas_udf("boolean")
-    def holds(texts: pd.Series) -> pd.Series:
+    @releasing
+    def judge(batches):
         index = shared.value
-        return texts.map(lambda t: bool(matches(index, t, min_score))).astype(bool)
+        for texts in batches:
+            yield texts.map(lambda t: bool(matches(index, t, min_score))).astype(bool)
+        index.known.clear()  # a worker that goes on with other work shouldn't hold the words
+
+    @F.pandas_udf("boolean")
+    def holds(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        yield from judge(batches)
 
     return holds
 

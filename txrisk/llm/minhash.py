@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, packed, read_table, text_bytes, unpacked
+from .common import materialize, packed, read_table, releasing, text_bytes, unpacked
 from .components import components
 
 #: Words of a shingle and coordinates of a sketch.
@@ -32,7 +32,7 @@ MISS = 1e-7
 #: Documents of a block.
 BLOCK = 256
 #: Words whose hash one worker remembers; a memory bound, it changes no result.
-CACHE_WORDS = 500_000
+CACHE_WORDS = 150_000
 #: Columns of the incidence matrix multiplied at a time, and shingles sketched at a time.
 CHUNK_KEYS = 1 << 13
 SKETCH_KEYS = 1 << 20
@@ -129,21 +129,12 @@ def band_keys(sketch: np.ndarray, rows: int) -> np.ndarray:
     return key.astype(np.int64)
 
 
-_SETS: dict[int, Shingles] = {}
-
-
-def _shingles(size: int) -> Shingles:
-    if size not in _SETS:
-        _SETS[size] = Shingles(size)
-    return _SETS[size]
-
-
 def sketch_table(docs: DataFrame, threshold: float, shingle: int = SHINGLE, coordinates: int = COORDINATES) -> DataFrame:
     """doc_id, n_shingles, digest (null for an empty set), bands: one row per input row."""
     rows = bands(threshold, coordinates)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        make = _shingles(shingle)
+        make = Shingles(shingle)  # one per partition: its words go with it
         for batch in batches:
             ids, sets, total = [], [], 0
             for i, text in zip(batch.column(0).to_pylist(), batch.column(1)):
@@ -167,7 +158,7 @@ def sketch_table(docs: DataFrame, threshold: float, shingle: int = SHINGLE, coor
         )
 
     rows_in = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_bytes("text").alias("text"))
-    return rows_in.mapInArrow(run, "doc_id long, n_shingles long, digest binary, bands array<long>")
+    return rows_in.mapInArrow(releasing(run), "doc_id long, n_shingles long, digest binary, bands array<long>")
 
 
 def linked_pairs(sets: list[np.ndarray], left: int, percent: int) -> list[tuple[int, int]]:
@@ -248,12 +239,12 @@ def links(docs: DataFrame, table: DataFrame, percent: int, shingle: int = SHINGL
     texts = packed(texts).join(needed.hint("merge"), "__id")
 
     def to_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        make = _shingles(shingle)
+        make = Shingles(shingle)
         for batch in batches:
             sets = pa.array([make(unpacked(t.as_py())).tobytes() for t in batch.column(1)], pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column(0), sets], names=["__id", "keys"])
 
-    sets = texts.mapInArrow(to_sets, "__id long, keys binary")
+    sets = texts.mapInArrow(releasing(to_sets), "__id long, keys binary")
     rows = work.join(sets, F.col("doc_id") == F.col("__id")).select("leader", "i", "j", "block", "doc_id", "keys")
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = rows.repartition(parts, "leader", "i", "j").sortWithinPartitions("leader", "i", "j", "block", "doc_id")
@@ -277,7 +268,7 @@ def links(docs: DataFrame, table: DataFrame, percent: int, shingle: int = SHINGL
             if pairs:
                 yield pa.RecordBatch.from_arrays([pa.array([ids[a] for a, _ in pairs]), pa.array([ids[b] for _, b in pairs])], names=["a", "b"])
 
-    return rows.mapInArrow(run, "a long, b long")
+    return rows.mapInArrow(releasing(run), "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, percent: int = LINK_PERCENT, shingle: int = SHINGLE) -> DataFrame:

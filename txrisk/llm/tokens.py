@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import tokenizer_path
+from .common import releasing, tokenizer_path
 
 TOKENIZER = "byte_bpe_50k.json"
 #: The same vocabulary as merge ranks.
@@ -20,7 +20,7 @@ RANKS = "byte_bpe_50k.tiktoken"
 #: The id that closes every document.
 END_ID = 1
 #: Words whose ids one worker remembers; a memory bound, it changes no id.
-CACHE_WORDS = 600_000
+CACHE_WORDS = 150_000
 
 _ODD_SPACE = re.compile(r"[^\S \n]|\s\s")
 
@@ -48,7 +48,7 @@ class Encoder:
             with open(fast, "rb") as f:
                 ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, f)}
             self.words_at_once = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
-        self._reset()
+        self.forget()
 
     def _encode(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
@@ -56,7 +56,8 @@ class Encoder:
     def _bytes(self, text: str) -> bytes:
         return np.array(self._encode(text), "<u4").tobytes()
 
-    def _reset(self):
+    def forget(self):
+        """Drop the words learnt so far; a worker that goes on with other work shouldn't hold them."""
         # Keys: a word stands after a space, or, with a leading line break, at the start of a line.
         self.known = {"": self._bytes(" "), "\n": self._bytes("\n")}
 
@@ -79,7 +80,7 @@ class Encoder:
 
     def encode_all(self, texts: list[str]) -> Iterator[bytes]:
         if len(self.known) > CACHE_WORDS:
-            self._reset()
+            self.forget()
         split = [None if _ODD_SPACE.search(t) else t.replace("\n", " \n").split(" ") for t in texts]
         known = self.known
         # The first word of a text stands at the start of a line, without the line break.
@@ -131,20 +132,23 @@ def piece_cutter(max_len: int, tokenizer: str | None = None):
             types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
             return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, types)], names=["doc_id", "start", "length", "doc_tokens", "ids"])
 
-        for batch in batches:
-            ids, texts, chars = [], [], 0
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                text = text.as_py() or ""
-                ids.append(doc)
-                texts.append(text)
-                chars += len(text)
-                if chars >= GROUP_CHARS:
+        try:
+            for batch in batches:
+                ids, texts, chars = [], [], 0
+                for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+                    text = text.as_py() or ""
+                    ids.append(doc)
+                    texts.append(text)
+                    chars += len(text)
+                    if chars >= GROUP_CHARS:
+                        yield pieces(ids, texts)
+                        ids, texts, chars = [], [], 0
+                if ids:
                     yield pieces(ids, texts)
-                    ids, texts, chars = [], [], 0
-            if ids:
-                yield pieces(ids, texts)
+        finally:
+            enc.forget()
 
-    return cut
+    return releasing(cut)
 
 
 def id_and_text(docs: DataFrame) -> DataFrame:

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import read_table
+from .common import read_table, releasing
 
 #: Labelled documents that the model is fitted on, about, and their characters in all: whole texts of any length,
 #: fewer where they are long. Scoring reads every row in full.
@@ -38,7 +38,7 @@ COUNTS = 0.3
 MIN_DOCS = 3
 STEPS = 120
 #: Words whose weight one worker remembers; a memory bound, it changes no score.
-CACHE_WORDS = 500_000
+CACHE_WORDS = 150_000
 
 _BREAK = " \x00. "
 _STRIP = ".,;:!?\"'()[]{}<>*#$%&|"
@@ -249,6 +249,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("score", pa.float64())]))
+        model.reset()
         for batch in batches:
             scores, spans = [], []
             for text in batch.column(1):
@@ -261,9 +262,10 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
                 [batch.column(0), pa.array(scores, pa.float64()), pa.array(predicted, pa.int32()), pa.array(spans, span)],
                 names=["doc_id", "score", "predicted", "spans"],
             )
+        model.reset()  # a worker that goes on with other work shouldn't hold the words
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(
-        run, "doc_id long, score double, predicted int, spans array<struct<start: long, end: long, score: double>>",
+        releasing(run), "doc_id long, score double, predicted int, spans array<struct<start: long, end: long, score: double>>",
     )
 
 
@@ -277,8 +279,15 @@ def keep_inoffensive(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` that the model doesn't predict to be toxic, with all their columns."""
     model = fit(docs, labels)
 
+    @releasing
+    def judge(batches):
+        model.reset()
+        for texts in batches:
+            yield texts.map(lambda t: model.score(t or "") >= 0.5).astype(bool)
+        model.reset()
+
     @F.pandas_udf("boolean")
-    def offends(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: model.score(t or "") >= 0.5).astype(bool)
+    def offends(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        yield from judge(batches)
 
     return docs.where(~offends(F.coalesce(F.col("text").cast("string"), F.lit(""))))
