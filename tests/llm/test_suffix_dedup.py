@@ -76,3 +76,43 @@ def test_null_ids_repeated_rows_and_empty_table(spark):
     rows = S.remove_repeats(docs, min_len=24, gram=8).collect()
     assert sorted((r["n_bytes"], r["n_removed"], r["n_spans"]) for r in rows) == [(0, 0, 0), (23, 0, 0), (24, 0, 0), (80, 80, 1)]
     assert S.remove_repeats(docs.limit(0), min_len=24, gram=8).count() == 0
+
+
+@pytest.mark.parametrize("range_rows", [20_000, 40])
+def test_passages_of_known_length_at_production_settings(spark, range_rows):
+    """With 400 bytes and grams of 96: shared passages of 350 and 399 bytes stay, those of 400 and 450 go, whole."""
+    r = random.Random(9)
+    letters = "abcdefghijklmnopqrstuvwxyzé"
+    word = lambda: "".join(r.choice(letters) for _ in range(r.randint(2, 9)))
+    filler = lambda: " ".join(word() for _ in range(r.randint(5, 60)))
+
+    def passage(n):
+        text = b""
+        while len(text) < n:
+            text += (word() + " ").encode()
+        text = text[:n]
+        while True:
+            try:
+                text.decode()
+                return text.decode()
+            except UnicodeDecodeError:
+                text = text[:-2] + b"x" * 2
+
+    lengths = [350, 399, 400, 450, 2000]
+    passages = {n: passage(n) for n in lengths}
+    assert all(len(p.encode()) == n for n, p in passages.items())
+    # A mark of its own next to every copy, so that no shared string is longer than the passage.
+    texts, held = [], []
+    for i in range(150):
+        n = lengths[i % 5] if i < 100 else None
+        mark = chr(65 + i // 5)
+        texts.append(f"{filler()} {i}{mark}" + (passages[n] if n else filler()) + f"{mark}{i} {filler()}")
+        held.append(n)
+    texts += [texts[120]] * 3 + [None, "", "#" * 399, "~" * 400]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    got = {x["doc_id"]: x for x in S.remove_repeats(docs, range_rows=range_rows).collect()}
+    for i, (n_bytes, removed, spans, digest) in enumerate(brute(texts, 400)):
+        x = got[i]
+        assert (x["n_bytes"], x["n_removed"], x["n_spans"], hashlib.sha256(bytes(x["kept"])).hexdigest()) == (n_bytes, removed, spans, digest)
+    for i, n in enumerate(held[:100]):
+        assert got[i]["n_removed"] == (n if n >= 400 else 0)

@@ -69,3 +69,29 @@ def test_urls_equal_sql(spark):
 def test_url_filter_is_native(spark):
     plan = url_filter.op4_url_filter(spark, SF)._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow|RDD", plan)
+
+
+def test_many_sections_stay_apart(spark):
+    """One host with 25 language sections, two of them blocked by a rule: no page of the other 23 is blocked."""
+    langs = ["es", "fr"] + [a + b for a in "abcde" for b in "lmnop"][:23]
+    rows = [(f"http://www.site.net/{x}/page-{x}-{i}.html",) for x in langs for i in range(200)]
+    rows += [(f"http://small.net/{x}/{i}.html",) for x in langs for i in range(3)]
+    docs = spark.createDataFrame([(k, u) for k, (u,) in enumerate(rows)], "page_id long, url string")
+    out = url_filter.judge_urls(docs).cache()
+    assert out.where("rule is null and verdict = 'block'").count() == 0
+    assert out.where("rule is not null").count() == 406 and out.where("rule is not null and verdict <> 'block'").count() == 0
+    assert out.where("host = 'www.site.net'").select("template").distinct().count() == 25
+
+
+def test_branches_merge_level_by_level(spark):
+    """Labels of like siblings count together; a branch that differs from its parent keeps its own."""
+    leaves = []
+    for k, (rows, n, bad) in enumerate([(10, 10, 10), (12, 12, 12), (40, 40, 0)]):
+        leaves.append(("h", f"/a/s{k}", ["a", f"s{k}"], rows, n, bad))
+    leaves += [("h", "/b/x", ["b", "x"], 30, 30, 15), ("h", "/b/y", ["b", "y"], 6, 0, 0), ("h", "", [], 1, 1, 0)]
+    df = spark.createDataFrame(leaves, "host string, template string, tokens array<string>, rows long, n long, bad long")
+    got = {r["template"]: (r["rows"], r["n"], r["bad"]) for r in url_filter.merged_nodes(df).collect()}
+    # Two blocked leaves differ from their branch (35 % blocked) and stay alone, as does the clean one.
+    assert got["/a/s0"] == (10, 10, 10) and got["/a/s1"] == (12, 12, 12) and got["/a/s2"] == (40, 40, 0)
+    # /b/x is like /b, which is like the host's other branch; /b/y has no label and is like nothing.
+    assert got["/b/x"] == (98, 92, 37) and got["/b/y"] == (6, 0, 0) and got[""] == (1, 1, 0)
