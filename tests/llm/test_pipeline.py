@@ -35,4 +35,4 @@ def test_queries_equal_sql(spark, name):
 
 def test_every_operator_is_registered():
     names = list(__spark_entry__.queries())
-    assert [n for n in range(1, 11) if not any(x.startswith(f"op{n}_") for x in names)] == [] and "pipeline" in names
+    assert [n for n in range(1, 14) if not any(x.startswith(f"op{n}_") for x in names)] == [] and "pipeline" in names
