@@ -48,6 +48,19 @@ def test_unmarked_pages_lose_the_runs_of_their_host(spark):
     assert html_extract.main_text(pages(spark, rows).limit(0)).count() == 0
 
 
+def test_marked_pages_keep_their_text_outside_of_the_article(spark):
+    """Main text around the article stays; unmarked text beside it stays unless the host repeats it."""
+    line, own = "This line stands on every page of this little site of ours", lambda k: " ".join(f"p{k}w{j}" for j in range(9))
+    page = lambda k: (f"<body><div>Our site</div><div>{line}</div><div>{own(k)}</div><main><h1>Title {k}</h1><article><p>one {k}</p></article>"
+                      f"<p>after {k}</p></main><nav>menu</nav><div>last {k} {line}</div><article>two {k}</article><footer>foot</footer></body>")
+    rows = [(k, "http://a.example.org/x", page(k)) for k in range(4)]
+    rows += [(10, "http://b.example.org/", f"<p>{line}</p><article>alone</article><p>Our site</p>"), (11, "http://a.example.org/y", f"<div>Our site</div><article>bare</article><p>{line}</p>"),
+             (12, None, "<article>a<p>b</article>c"), (13, "http://a.example.org/z", f"<div>Our site</div><div>{own(9)}</div>")]
+    got = {r["page_id"]: r["text"] for r in html_extract.main_text(pages(spark, rows)).collect()}
+    want = {k: f"{own(k)}\nTitle {k}\none {k}\nafter {k}\nlast {k}\ntwo {k}" for k in range(4)}
+    assert got == want | {10: f"{line}\nalone\nOur site", 11: "bare", 12: "a\nb\nc", 13: f"Our site\n{own(9)}"}
+
+
 def test_urls_equal_sql(spark):
     rows = [
         (1, "http://EXAMPLE.com/en/x"), (2, "https://www.example.com/en/1"), (3, "ftp://a.b.example.com"), (4, "no scheme/en/"), (5, None), (6, ""),
