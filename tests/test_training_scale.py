@@ -1,6 +1,7 @@
 """What training and scoring cost as rows grow: stored hashes, one shard in memory, chunks at scoring, one feature table."""
 
 import tracemalloc
+from dataclasses import replace
 
 import numpy as np
 import pyarrow as pa
@@ -85,3 +86,28 @@ def test_the_written_ledger_has_no_account_names(spark, monkeypatch):
     monkeypatch.setattr(feature_plan, "materialize", lambda df, name: kept.append(df.columns) or df)
     assert feature_plan.tpch_feature_table(spark, "unused").count() == 1
     assert "amount" in kept[0] and not {"nameOrig", "nameDest"} & set(kept[0])
+
+
+def _full_fit(spark, monkeypatch, query):
+    """(result, epochs and rows of every fit) of a query over a tiny run without SMOTE; a fit is cut to one epoch here."""
+    rows = spark.range(60).select(
+        F.col("id").alias("tx_id"), F.col("id").cast("double").alias("a"), (F.col("id") % 5 == 0).cast("int").alias("isFraud"),
+        F.when(F.col("id") < 30, "train").when(F.col("id") < 40, "val").otherwise("test").alias("split"),
+    )
+    pre = preprocess.fit_preprocessor(rows.where("split = 'train'").drop("split"))
+    parts = [preprocess.transform(pre, rows.where(F.col("split") == p)) for p in ("train", "val", "test")]
+    prep, seen, fit = training.Prepared(pre, ["a"], *parts, rows), [], network.fit_blocks
+
+    def one_epoch(blocks, n_shards, cols, cfg, val_blocks=None, *more, **options):
+        seen.append((cfg.epochs, val_blocks is None, sum(len(r["y"]) // 4 for r in blocks.collect())))
+        return fit(blocks, n_shards, cols, replace(cfg, epochs=1), val_blocks, *more, **options)
+
+    monkeypatch.setattr(registry, "_prepared", lambda spark, sf_dir, cfg=None: (prep, cfg or training.RunConfig()))
+    monkeypatch.setattr(training, "rebalance", lambda prep, cfg: (prep.train, None))
+    monkeypatch.setattr(network, "fit_blocks", one_epoch)
+    return query(spark, "unused"), seen
+
+
+def test_fit_classifier_trains_all_epochs(spark, monkeypatch):
+    out, seen = _full_fit(spark, monkeypatch, registry.q_fit_classifier)
+    assert seen == [(50, True, 30)] and out.count() == 20
