@@ -111,3 +111,8 @@ def _full_fit(spark, monkeypatch, query):
 def test_fit_classifier_trains_all_epochs(spark, monkeypatch):
     out, seen = _full_fit(spark, monkeypatch, registry.q_fit_classifier)
     assert seen == [(50, True, 30)] and out.count() == 20
+
+
+def test_refit_trains_all_epochs_on_train_and_val(spark, monkeypatch):
+    out, seen = _full_fit(spark, monkeypatch, registry.q_refit_on_train_val)
+    assert seen == [(50, True, 40)] and out.count() == 20
