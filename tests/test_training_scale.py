@@ -54,6 +54,15 @@ def test_a_task_gets_one_shard_at_a_time(spark):
     assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") != "1"  # the caller's session is as before
 
 
+def test_every_shard_is_a_task_of_its_own(spark):
+    """However the keys hash, no task of a pass has two shards while another has none."""
+    rows = spark.range(3000).select(F.col("id").alias("tx_id"), (F.col("id") / 3000).alias("a"), (F.col("id") % 2).cast("int").alias("isFraud"))
+    blocks = network.shard_matrices(rows, ["a"], shard_rows=100)
+    per_task = [r["count"] for r in blocks.groupBy(F.spark_partition_id()).count().collect()]
+    assert per_task == [1] * 30 and blocks.rdd.getNumPartitions() == 30
+    assert spark.conf.get("spark.sql.files.openCostInBytes") != str(network.FILE_BYTES)
+
+
 def test_scoring_queries_read_the_run_s_features(spark, monkeypatch):
     """The ledger is not joined, bounded and cleaned a second time for the rows that are scored."""
     rows = spark.range(50).select(
